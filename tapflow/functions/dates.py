@@ -23,7 +23,8 @@ def day_date(yyyymmdd: Column) -> Column:
 
 def date_of_parts(year: Column, month: Column, day: Column) -> Column:
     """Date of three numbers, NULL for an impossible one."""
-    return F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-M-d")
+    midnight = F.lit(0)
+    return F.try_make_timestamp_ntz(year, month, day, midnight, midnight, midnight).cast("date")
 
 
 def weekday(date: Column) -> Column:

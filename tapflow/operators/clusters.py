@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapflow import fixed
+from tapflow.dims import constant_table
 from tapflow.operators.features import complete_features
+from tapflow.operators.kmeans import best_runs, with_assignments
 from tapflow.operators.ordering import average_rank, dedupe_names
 from tapflow.operators.scaling import StandardScaler, fit_standard
 from tapflow.operators.silhouette import mean_silhouette
@@ -24,7 +25,7 @@ class Clustering:
 
     features: DataFrame       # complete feature rows
     rejects: DataFrame        # rows with an undefined feature
-    scaled: DataFrame         # station and standardised vector
+    scaled: DataFrame         # station and standardised point
     scaler: StandardScaler
     sweep: DataFrame          # k, wcss, silhouette
     k: int
@@ -32,7 +33,6 @@ class Clustering:
     centroids_scaled: DataFrame
     names: DataFrame          # cluster, cluster_name
     labels: DataFrame         # station [, station_id], cluster, cluster_name
-    model: KMeansModel
 
 
 def archetype_names(centroids: DataFrame) -> DataFrame:
@@ -72,88 +72,60 @@ def with_names(assignment: DataFrame, names: DataFrame) -> DataFrame:
     return assignment.join(names, "cluster", "left")
 
 
-def _fit_best(vectors: DataFrame, ks: list[int], starts: int, seed: int,
-              threads: int) -> dict[int, KMeansModel]:
-    """The least-cost model of ``starts`` fits for each k; fits share the cluster."""
-    def fit(task: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
-        k, turn = task
-        model = KMeans(k=k, seed=seed + turn, maxIter=300, tol=1e-4, featuresCol="vector").fit(vectors)
-        return k, model.summary.trainingCost, turn, model
-
-    best: dict[int, tuple[float, int, KMeansModel]] = {}
-    tasks = [(k, turn) for k in ks for turn in range(starts)]
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        for k, cost, turn, model in pool.map(fit, tasks):
-            if k not in best or (cost, turn) < best[k][:2]:
-                best[k] = (cost, turn, model)
-    return {k: model for k, (_, _, model) in best.items()}
-
-
-def _centroid_table(spark: SparkSession, rows: list[list[float]]) -> DataFrame:
+def _centroid_table(spark: SparkSession, rows: list[np.ndarray]) -> DataFrame:
     return spark.createDataFrame(
-        [(number, *[float(x) for x in row]) for number, row in enumerate(rows)],
+        [(number, *map(float, row)) for number, row in enumerate(rows)],
         "cluster int, " + ", ".join(f"{name} double" for name in fixed.FEATURES),
     )
 
 
 def choose_k_and_cluster(features: DataFrame, k_range: tuple[int, int] = (2, 8), starts: int = 10,
-                         seed: int = 42, threads: int = 8) -> Clustering:
+                         seed: int = 42) -> Clustering:
     """Standardise, sweep k (inclusive), keep the k of the best silhouette, name the clusters.
 
     Features are one row per station: they are written to the checkpoint folder, so the
-    fits and a lost executor never go back to the facts. Clusters are numbered by falling
-    size, then by centroid, so that numbers do not depend on the fit.
+    passes and a lost executor never go back to the facts. Clusters are numbered by
+    falling size, then by centroid, so that numbers do not depend on the draw.
     """
     spark = features.sparkSession
     features = checkpointed(features)
     complete, rejects = complete_features(features)
     scaler = fit_standard(complete, fixed.FEATURES)
-    assembler = VectorAssembler(inputCols=fixed.FEATURES, outputCol="vector")
     scaled = checkpointed(
-        assembler.transform(scaler.transform(complete.select("station", *fixed.FEATURES)))
-        .select("station", "vector")
+        scaler.transform(complete).select("station", F.array(*fixed.FEATURES).alias("point"))
     )
-    vectors = scaled.cache()
     ks = list(range(k_range[0], k_range[1] + 1))
-    if vectors.count() <= ks[-1]:
-        raise ValueError(f"fewer complete feature rows than needed for k up to {ks[-1]}")
-    models = _fit_best(vectors, ks, starts, seed, threads)
+    points = scaled.select("station", F.xxhash64("station").alias("code"), "point")
+    if points.select("point").distinct().limit(ks[-1] + 1).count() <= ks[-1]:
+        raise ValueError(f"fewer distinct feature rows than needed for k up to {ks[-1]}")
+    best = best_runs(points, len(fixed.FEATURES), ks, starts, seed)
 
-    assigned = vectors
-    for k in ks:
-        assigned = models[k].setPredictionCol(f"k{k}").transform(assigned)
+    names_of = {k: f"k{k}" for k in ks}
     assigned = checkpointed(
-        assigned.select("station", vector_to_array("vector").alias("point"), *[f"k{k}" for k in ks])
+        with_assignments(scaled, {names_of[k]: best[k].centers for k in ks})
     )
     scores = {
         row["assignment"]: row["silhouette"]
-        for row in mean_silhouette(assigned, "station", "point", [f"k{k}" for k in ks]).collect()
+        for row in mean_silhouette(assigned, "station", "point", list(names_of.values())).collect()
     }
     sweep = spark.createDataFrame(
-        [(k, float(models[k].summary.trainingCost), scores[f"k{k}"]) for k in ks],
-        "k int, wcss double, silhouette double",
+        [(k, float(best[k].cost), scores[names_of[k]]) for k in ks], "k int, wcss double, silhouette double"
     )
-    best = best_k(sweep).first()["k"]
-
-    chosen = models[best]
-    sizes = {row[0]: row["count"] for row in assigned.groupBy(f"k{best}").count().collect()}
-    centers = [list(map(float, center)) for center in chosen.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda i: (-sizes.get(i, 0), centers[i]))
-    renumbered = spark.createDataFrame(
-        [(old, new) for new, old in enumerate(order)], f"k{best} int, cluster int"
-    )
-    centroids_scaled = _centroid_table(spark, [centers[i] for i in order])
+    chosen = best[best_k(sweep).first()["k"]]
+
+    order = sorted(range(chosen.k), key=lambda i: (-chosen.sizes[i], tuple(chosen.centers[i])))
+    renumbered = constant_table(spark, ["found", "cluster"], [(old, new) for new, old in enumerate(order)])
+    centroids_scaled = _centroid_table(spark, [chosen.centers[i] for i in order])
     centroids = checkpointed(scaler.inverse(centroids_scaled))
     names = checkpointed(archetype_names(centroids))
-    # one row per cluster, at most k_range[1]
-    assignment = assigned.select("station", f"k{best}").join(F.broadcast(renumbered), f"k{best}")
     identity = [name for name in ("station", "station_id") if name in features.columns]
+    assignment = assigned.select("station", F.col(names_of[chosen.k]).alias("found")).join(renumbered, "found")
     labels = with_names(
-        complete.select(*identity).join(assignment.select("station", "cluster"), "station"), F.broadcast(names)
+        complete.select(*identity).join(assignment.select("station", "cluster"), "station"),
+        F.broadcast(names),  # one row per cluster, at most k_range[1]
     ).select(*identity, "cluster", "cluster_name")
-    vectors.unpersist()
-    return Clustering(complete, rejects, scaled, scaler, sweep, best, centroids, centroids_scaled,
-                      names, labels, chosen)
+    return Clustering(complete, rejects, scaled, scaler, sweep, chosen.k, centroids, centroids_scaled,
+                      names, labels)
 
 
 def best_k(sweep: DataFrame) -> DataFrame:
@@ -162,9 +134,10 @@ def best_k(sweep: DataFrame) -> DataFrame:
 
 
 def project_2d(scaled: DataFrame) -> DataFrame:
-    """First two principal components of the standardised vectors: station, x, y."""
-    model = PCA(k=2, inputCol="vector", outputCol="plane").fit(scaled)
+    """First two principal components of the standardised points: station, x, y."""
+    vectors = scaled.select("station", array_to_vector("point").alias("vector"))
+    model = PCA(k=2, inputCol="vector", outputCol="plane").fit(vectors)
     plane = vector_to_array("plane")
-    return model.transform(scaled).select(
+    return model.transform(vectors).select(
         "station", plane[0].alias("x"), plane[1].alias("y")
     )

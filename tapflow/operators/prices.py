@@ -8,56 +8,51 @@ from tapflow.functions.dates import month_start
 from tapflow.functions.numbers import millions, percent_change
 from tapflow.operators.ordering import first_last
 
-# Buckets per doubling of the value, in the first and the second round.
-SCALES = (16, 16 * 1024)
+# Buckets per doubling of the value.
+SCALE = 16 * 1024
 
 
-def _bucket(value: Column, scale: int) -> Column:
-    """Number that never falls as the value rises; equal for values that are close."""
-    size = F.floor(F.least(F.log2(F.abs(value)), F.lit(1100.0)) * scale) + 1100 * scale
+def _bucket(value: Column) -> Column:
+    """Number that never falls as the value rises; equal for values 4e-5 apart or less."""
+    size = F.floor(F.least(F.log2(F.abs(value)), F.lit(1100.0)) * SCALE) + 1100 * SCALE
     return F.when(value > 0, size).when(value < 0, -size).otherwise(0).cast("bigint")
 
 
-def _around_middle(counts: DataFrame, groups: list[str], bucket: str) -> DataFrame:
-    """The buckets of each group that hold its middle ranks, with the count before them."""
-    earlier = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("below") + F.coalesce(F.sum("held").over(earlier), F.lit(0))
-    return counts.withColumn("before", before).where(
-        "before < high_rank AND before + held >= low_rank"
-    ).select(*groups, bucket, F.col("before").alias("below"), "low_rank", "high_rank")
-
-
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Median of ``value`` by ``keys``, the mean of the two middle values on even counts.
 
-    Three passes, none of which shuffles the rows as they are. The first counts coarse
-    buckets, combined before the exchange; the second counts fine buckets inside those
-    that hold a group's middle; the third orders the distinct values of the last bucket,
-    4e-5 of the value wide. So a group of any size never meets in one task.
+    Equal values are counted first; that exchange hashes keys and value, so a group of
+    any size spreads over all tasks, and it is shared by the two steps that follow. The
+    first counts narrow buckets of each group and finds those that hold its middle
+    ranks; the second orders only the distinct values inside these.
     """
-    complete = df.select(*keys, F.col(value).cast("double").alias(value)).dropna(subset=[*keys, value])
-    values = complete.where(~F.isnan(value)).withColumns({
-        f"bucket_{level}": _bucket(F.col(value), scale) for level, scale in enumerate(SCALES)
-    })
-    kept = {column: F.max(column).alias(column) for column in ("below", "low_rank", "high_rank")}
-
-    size = F.sum("held").over(Window.partitionBy(*keys))
-    coarse = values.groupBy(*keys, "bucket_0").agg(F.count("*").alias("held")).select(
-        *keys, "bucket_0", "held", F.lit(0).cast("bigint").alias("below"),
-        F.floor((size + 1) / 2).alias("low_rank"), (F.floor(size / 2) + 1).alias("high_rank"),
+    rows = df.select(*keys, F.col(value).cast("double").alias(value))
+    usable = ~F.isnan(value)
+    for key in keys:
+        usable = usable & F.col(key).isNotNull()
+    # Counting usable rows, rather than filtering them, keeps Spark from computing the
+    # value again for each filter it would push below the joins under ``df``.
+    counted = (
+        rows.groupBy(*keys, value).agg(F.count(F.when(usable, F.col(value))).alias("n"))
+        .where("n > 0").withColumn("bucket", _bucket(F.col(value)))
     )
-    middle = _around_middle(coarse, keys, "bucket_0")
-
-    fine = values.join(middle, [*keys, "bucket_0"]).groupBy(*keys, "bucket_0", "bucket_1").agg(
-        F.count("*").alias("held"), *kept.values()
+    groups = [*keys, "bucket"]
+    earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.sum("held").over(Window.partitionBy(*keys))
+    middle = (
+        counted.groupBy(*groups).agg(F.sum("n").alias("held"))
+        .select(
+            *[F.col(column).alias(f"_{column}") for column in groups], "held",
+            F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("below"),
+            F.floor((size + 1) / 2).alias("low_rank"), (F.floor(size / 2) + 1).alias("high_rank"),
+        )
+        .where("below < high_rank AND below + held >= low_rank")
+        .drop("held")
     )
-    groups = [*keys, "bucket_0"]
-    middle = _around_middle(fine, groups, "bucket_1")
-
-    groups.append("bucket_1")
-    counted = values.join(middle, groups).groupBy(*groups, value).agg(F.count("*").alias("n"), *kept.values())
+    # Null-safe equality adds no filter to either side, so both read the same exchange.
+    same = [F.col(column).eqNullSafe(F.col(f"_{column}")) for column in groups]
     upto = Window.partitionBy(*groups).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("last_rank", F.col("below") + F.sum("n").over(upto))
+    ranked = counted.join(middle, same).withColumn("last_rank", F.col("below") + F.sum("n").over(upto))
     first_rank = F.col("last_rank") - F.col("n")
 
     def holding(rank: str) -> Column:

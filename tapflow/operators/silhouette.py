@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 TILE_ROWS = 1024
 
+# Tasks carry the helpers below with them; executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def wcss(points: DataFrame, vector: str, label: str) -> DataFrame:
     """Within-cluster sum of squares and size by cluster, in one pass over the points."""
@@ -37,18 +42,20 @@ def silhouette_points(points: DataFrame, key: str, vector: str, labels: list[str
     assignments share the distances. Rows moved grow with n²/1024 and no group grows
     with the data or with a cluster's size.
     """
-    codes, sizes = [], {}
-    for label in labels:
-        counts = points.groupBy(label).agg(F.count("*").alias("n")).orderBy(label)
-        for row in counts.collect():  # one row per cluster
-            sizes[(label, row[0])] = row["n"]
-            codes.append((label, row[0]))
+    named = F.array(*[
+        F.struct(F.lit(label).alias("label"), F.col(label).cast("string").alias("code")) for label in labels
+    ])
+    counts = points.select(F.inline(named)).groupBy("label", "code").agg(F.count("*").alias("n"))
+    # one row per assignment and cluster
+    sizes = {(row["label"], row["code"]): row["n"] for row in counts.orderBy("label", "code").collect()}
+    codes = list(sizes)
     n = sum(size for (label, _), size in sizes.items() if label == labels[0])
     tiles = max(1, math.ceil(n / TILE_ROWS))
 
     every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
     rows = points.select(
-        F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"), *labels
+        F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"),
+        *[F.col(label).cast("string").alias(label) for label in labels],
     ).withColumn("own", F.pmod(F.xxhash64("key"), F.lit(tiles)).cast("int"))
     left = rows.select("key", "vector", *labels, F.col("own").alias("row_tile"), every.alias("column_tile"))
     right = rows.select("vector", *labels, F.col("own").alias("column_tile"), every.alias("row_tile"))
@@ -57,7 +64,7 @@ def silhouette_points(points: DataFrame, key: str, vector: str, labels: list[str
     key_type = rows.schema["key"].dataType
     schema = T.StructType(
         [T.StructField("key", key_type)]
-        + [T.StructField(label, rows.schema[label].dataType) for label in labels]
+        + [T.StructField(label, T.StringType()) for label in labels]
         + [T.StructField(name, T.DoubleType()) for name in sums]
     )
 
@@ -94,7 +101,7 @@ def silhouette_points(points: DataFrame, key: str, vector: str, labels: list[str
             F.coalesce(F.try_divide(nearest - mine, F.greatest(mine, nearest)), F.lit(0.0))
         )
         scores.append(F.struct(
-            F.lit(label).alias("assignment"), F.col(label).cast("string").alias("cluster"),
+            F.lit(label).alias("assignment"), F.col(label).alias("cluster"),
             F.when(F.lit(len(others) > 1), score).alias("silhouette"),
         ))
     return added.select("key", F.inline(F.array(*scores)))

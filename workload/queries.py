@@ -538,13 +538,8 @@ def cluster_labels(spark, sf):
 @query
 def projection_2d(spark, sf):
     complete, _ = features.complete_features(inputs.features_by_user(spark, sf))
-    scaler = scaling.fit_standard(complete, fixed.FEATURES)
-    return clusters.project_2d(_vectors(scaler.transform(complete)))
-
-
-def _vectors(scaled: DataFrame) -> DataFrame:
-    assembler = clusters.VectorAssembler(inputCols=fixed.FEATURES, outputCol="vector")
-    return assembler.transform(scaled).select("station", "vector")
+    scaled = scaling.fit_standard(complete, fixed.FEATURES).transform(complete)
+    return clusters.project_2d(scaled.select("station", F.array(*fixed.FEATURES).alias("point")))
 
 
 # Chart tables
