@@ -48,8 +48,10 @@ def stamped_path(folder: str, name: str, stamp: str) -> str:
 
 
 def read_stage(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """Read a stage table; with a schema, partition columns keep their place in it."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*([path] if isinstance(path, str) else path))
+    df = reader.parquet(*([path] if isinstance(path, str) else path))
+    return df.select(*schema.names) if schema is not None else df
 
 
 def write_snapshot(df: DataFrame, path: str) -> str:
