@@ -50,7 +50,7 @@ def column_distinctiveness(long: DataFrame, top: int = fixed.DISTINCTIVE_COLUMNS
 
 def weekday_mean(daily: DataFrame) -> DataFrame:
     """Mean daily volume by station and weekday over the daily rows, 7 rows per station."""
-    means = daily.dropna(subset=["station", "weekday"]).groupBy("station", "weekday").agg(
+    means = daily.where(F.col("station").isNotNull()).groupBy("station", "weekday").agg(
         F.avg(F.col("board_total") + F.col("alight_total")).alias("mean_taps")
     )
     days = [

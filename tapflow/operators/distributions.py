@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tapflow.functions.numbers import ratio_or_zero
-from tapflow.operators.reshape import dense_hours, hour_profile, slot_total
-
-SAMPLE_SIZE = 24
-
+from tapflow.operators.reshape import hour_profile, slot_total, slots
 
 def hour_samples(long: DataFrame) -> DataFrame:
-    """The 24 hourly shares of each station as its sample; all 0 for a station without taps."""
+    """One row per station with its sample: the 24 hourly shares, all 0 without taps."""
     profile = hour_profile(long, ["station"]).withColumn("total", slot_total())
-    rows = dense_hours(profile, ["station", "total"])
-    return rows.select("station", "hour", ratio_or_zero(F.col("taps"), F.col("total")).alias("share"))
+    shares = F.transform(F.array(*slots()), lambda taps: ratio_or_zero(taps, F.col("total")))
+    return profile.select("station", shares.alias("shares"))
 
 
 def ecdf(samples: DataFrame) -> DataFrame:
-    """Step points (share, cumulative) of each station's sample of 24."""
-    in_order = Window.partitionBy("station").orderBy("share", "hour")
-    whole = Window.partitionBy("station")
-    place = F.row_number().over(in_order)
-    return samples.select(
-        "station", place.alias("step"), "share", (place / F.count("*").over(whole)).alias("cumulative")
+    """Step points (share, cumulative) of each station's sample."""
+    rows = samples.select(
+        "station", F.size("shares").alias("n"), F.posexplode(F.array_sort("shares")).alias("place", "share")
     )
+    step = F.col("place") + 1
+    return rows.select("station", step.alias("step"), "share", (step / F.col("n")).alias("cumulative"))
 
 
 def ks_exact_p(distance_steps: Column, n: Column) -> Column:
@@ -51,43 +47,46 @@ def ks_asymptotic_p(distance: Column, n_a: Column, n_b: Column) -> Column:
     return F.when(squared < 1e-12, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+def ks_distance(a: Column, b: Column) -> Column:
+    """Struct of the largest gap between two samples' distributions and where it is.
+
+    Distributions are compared as integer counts at the merged points (right-continuous),
+    so ties are exact; the first point wins.
+    """
+    n_a, n_b = F.size(a), F.size(b)
+
+    def at(x: Column) -> Column:
+        count_a = F.size(F.filter(a, lambda value: value <= x))
+        count_b = F.size(F.filter(b, lambda value: value <= x))
+        return F.struct(
+            F.abs(count_a * n_b - count_b * n_a).alias("gap"), (-x).alias("minus_x"),
+            count_a.alias("count_a"), count_b.alias("count_b"),
+        )
+
+    return F.array_max(F.transform(F.array_distinct(F.concat(a, b)), at))
+
+
 def ks_two_sample(samples: DataFrame, pairs: DataFrame) -> DataFrame:
     """KS distance for each (station_a, station_b) pair, and where it is attained.
 
-    Both samples of a pair hold 24 values; distributions are compared as integer counts
-    at the merged points (right-continuous), so ties are exact and the first point wins.
+    A pair is one row with both small samples, so nothing is grouped; a station that
+    occurs in very many pairs is split by the join at run time.
     """
-    def side(own: str, first: int) -> DataFrame:
-        values = samples.select(F.col("station").alias(own), "share")
-        return pairs.join(values, own).select(
-            "station_a", "station_b", "share",
-            F.lit(first).alias("in_a"), F.lit(1 - first).alias("in_b"),
-        )
+    def of(side: str) -> DataFrame:
+        return samples.select(F.col("station").alias(f"station_{side}"), F.col("shares").alias(f"shares_{side}"))
 
-    keys = ["station_a", "station_b"]
-    points = side("station_a", 1).unionByName(side("station_b", 0)).groupBy(*keys, "share").agg(
-        F.sum("in_a").alias("in_a"), F.sum("in_b").alias("in_b")
-    )
-    upto = Window.partitionBy(*keys).orderBy("share").rangeBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    counted = points.select(
-        *keys, "share",
-        F.sum("in_a").over(upto).alias("count_a"), F.sum("in_b").over(upto).alias("count_b"),
-        F.sum("in_a").over(whole).alias("n_a"), F.sum("in_b").over(whole).alias("n_b"),
-    )
-    gap = F.abs(F.col("count_a") * F.col("n_b") - F.col("count_b") * F.col("n_a"))
-    best = counted.groupBy(*keys).agg(
-        F.max(gap).alias("gap"),
-        F.max_by(F.struct("share", "count_a", "count_b"), F.struct(gap, -F.col("share"))).alias("at"),
-        F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"),
+    both = pairs.select("station_a", "station_b").join(of("a"), "station_a").join(of("b"), "station_b")
+    found = both.select(
+        "station_a", "station_b", F.size("shares_a").alias("n_a"), F.size("shares_b").alias("n_b"),
+        ks_distance(F.col("shares_a"), F.col("shares_b")).alias("at"),
     )
-    return best.select(
-        *keys,
-        (F.col("gap") / (F.col("n_a") * F.col("n_b"))).alias("ks"),
-        F.col("at.share").alias("at_share"),
+    return found.select(
+        "station_a", "station_b",
+        (F.col("at.gap") / (F.col("n_a") * F.col("n_b"))).alias("ks"),
+        (-F.col("at.minus_x")).alias("at_share"),
         (F.col("at.count_a") / F.col("n_a")).alias("cdf_a"),
         (F.col("at.count_b") / F.col("n_b")).alias("cdf_b"),
-        "gap", "n_a", "n_b",
+        F.col("at.gap").alias("gap"), "n_a", "n_b",
     )
 
 

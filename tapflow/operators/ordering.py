@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tapflow import fixed
@@ -56,8 +58,14 @@ def top_columns(ranked: DataFrame, n: int = fixed.TOP_COLUMNS) -> DataFrame:
     return ranked.orderBy("rank").limit(n)
 
 
-def preview(df: DataFrame, keys: list[str | Column], n: int = fixed.PREVIEW_ROWS) -> DataFrame:
-    """First ``n`` rows as texts, with the table's row and column counts on each."""
+def preview(df: DataFrame, keys: list[str | Column], n: int = fixed.PREVIEW_ROWS,
+            complete: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """First ``n`` rows as texts, with the table's row and column counts on each.
+
+    ``complete`` may add looked-up columns; it sees the ``n`` rows, not the table.
+    """
+    total = df.select(F.count(F.lit(1)).alias("n")).scalar()
+    df = complete(df.orderBy(*keys).limit(n))
     cells = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
@@ -66,7 +74,6 @@ def preview(df: DataFrame, keys: list[str | Column], n: int = fixed.PREVIEW_ROWS
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             column = F.round(column, 3)
         cells.append(column.cast("string").alias(field.name))
-    total = df.select(F.count(F.lit(1)).alias("n")).scalar()
-    return df.orderBy(*keys).limit(n).select(
+    return df.orderBy(*keys).select(
         *cells, total.alias("total_rows"), F.lit(len(df.columns)).alias("total_cols")
     )

@@ -34,7 +34,9 @@ def melt_hours(wide: DataFrame, keep: list[Column]) -> DataFrame:
         )
         for name, hour, direction in hour_columns(wide)
     ]
-    melted = wide.select(*keep, F.inline(F.array(*cells)))
+    # Identities are computed before the rows multiply.
+    whole = wide.select(*keep, F.array(*cells).alias("cells"))
+    melted = whole.select(*whole.columns[:-1], F.inline("cells"))
     return melted.withColumn("count", lenient_count(F.col("raw_count"))).drop("raw_count")
 
 

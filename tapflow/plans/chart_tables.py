@@ -31,8 +31,8 @@ def named(df: DataFrame, focus: Focus) -> DataFrame:
 def chart_a(long: DataFrame, daily: DataFrame, focus: Focus) -> DataFrame:
     """Weekday × hour cells of the focus stations and the largest value of all of them."""
     surface = weekday_hour_surface(focus.keep(long), focus.keep(daily))
-    shared = surface.agg(F.max("value").alias("m")).scalar()
-    return named(surface, focus).withColumn("scale_max", shared)
+    shared = F.max("value").over(Window.partitionBy())  # 168 rows per focus station
+    return named(surface.withColumn("scale_max", shared), focus)
 
 
 def chart_b(long: DataFrame, focus: Focus) -> DataFrame:

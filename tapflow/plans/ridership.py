@@ -37,10 +37,11 @@ def run(spark: SparkSession, wide: DataFrame, daily_raw: DataFrame, trades_raw:
     write_stage(hourly_long(wide), at["ridership_long"], partition_by=["year_month"], sort_by=["station", "hour"])
     long = read_stage(spark, at["ridership_long"], HOURLY_LONG)
     write_stage(station_ids(long), at["station_ids"])
-    with_ids = assign_station_id(long, read_stage(spark, at["station_ids"]))
     write_stage(daily_clean(daily_raw), at["daily"], sort_by=["station", "date"])
     write_stage(monthly_price_index(trades_clean(trades_raw)), at["price_index"], sort_by=["gu_code", "year_month"])
-    write_stage(station_features(with_ids), at["features"])
+    # Ids join the feature rows, one per station, and not the facts.
+    features = assign_station_id(station_features(long), read_stage(spark, at["station_ids"]))
+    write_stage(features, at["features"], sort_by=["station"])
     found = choose_k_and_cluster(read_stage(spark, at["features"]), k_range, starts, seed)
     write_stage(found.labels, at["cluster_labels"], sort_by=["station"])
     write_stage(found.centroids, at["cluster_centroids"], sort_by=["cluster"])

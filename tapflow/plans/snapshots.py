@@ -12,7 +12,7 @@ from tapflow.functions.numbers import ratio_or_zero
 from tapflow.operators.aggregates import cluster_sizes, column_distinctiveness
 from tapflow.operators.clusters import choose_k_and_cluster, project_2d
 from tapflow.operators.features import station_features
-from tapflow.operators.lookup import assign_station_id
+from tapflow.operators.lookup import assign_station_id, station_ids
 from tapflow.operators.ordering import preview, top_columns
 from tapflow.operators.reshape import dense_hours, hour_columns, hour_profile, hourly_long, slot_total
 from tapflow.operators.scaling import min_max
@@ -83,8 +83,13 @@ def build_stages(wide: DataFrame, focus: Focus, k_range: tuple[int, int] = (2, 8
     """Run the whole pipeline on a wide table and describe each stage."""
     long = hourly_long(wide)
     ranked = column_distinctiveness(long)
-    with_ids = assign_station_id(long)
-    features = station_features(with_ids)
+    ids = station_ids(long)
+
+    def identified(df: DataFrame) -> DataFrame:
+        return assign_station_id(df, ids)
+
+    # Ids join the feature rows, one per station, and not the facts.
+    features = identified(station_features(long))
     found = choose_k_and_cluster(features, k_range, starts, seed)
     plane = project_2d(found.scaled)
     points = cluster_points(found.labels, plane, focus)
@@ -92,7 +97,8 @@ def build_stages(wide: DataFrame, focus: Focus, k_range: tuple[int, int] = (2, 8
     return [
         Stage("raw", "Raw records", preview(wide, fixed.RAW_ID_COLUMNS), raw_shape(wide)),
         Stage("standardized", "Rank distinctive columns", preview(ranked, ["rank"]), top_column_bars(ranked)),
-        Stage("normalized", "Normalized (wide to long)", preview(with_ids, keys), flow_lines(long, focus)),
+        Stage("normalized", "Normalized (wide to long)", preview(long, keys, complete=identified),
+              flow_lines(long, focus)),
         Stage("features", "Feature engineering", preview(found.features, ["station"]),
               feature_profiles(found.features, focus)),
         Stage("clustered", "Standardized and clustered", preview(found.labels, ["station"]),

@@ -161,8 +161,7 @@ def exact_p(gap, n):
 def test_ks(spark):
     rng = random.Random(3)
     samples = {s: [round(rng.random() * (1 + i), 1) for _ in range(24)] for i, s in enumerate("abc")}
-    df = spark.createDataFrame([(s, h, v) for s, vs in samples.items() for h, v in enumerate(vs)],
-                               "station string, hour int, share double")
+    df = spark.createDataFrame(list(samples.items()), "station string, shares array<double>")
     pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "a")], "station_a string, station_b string")
     for row in distributions.ks_p_values(distributions.ks_two_sample(df, pairs)).collect():
         gap, x = ks_by_hand(samples[row.station_a], samples[row.station_b])
@@ -172,6 +171,21 @@ def test_ks(spark):
         assert 0.0 <= row.p_limit <= 1.0
 
 
+def test_ecdf_steps(spark):
+    df = spark.createDataFrame([("a", [0.5, 0.1, 0.1, 0.3])], "station string, shares array<double>")
+    rows = distributions.ecdf(df).orderBy("step").collect()
+    assert [(r.step, r.share, r.cumulative) for r in rows] == [
+        (1, 0.1, 0.25), (2, 0.1, 0.5), (3, 0.3, 0.75), (4, 0.5, 1.0),
+    ]
+
+
+def test_focus_filter_reaches_the_scan(spark, sf_dir):
+    from workload import inputs
+    table = charts.chart_b(inputs.taps_by_type(spark, sf_dir), inputs.FOCUS)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(event_type, [click,purchase,view])" in plan
+
+
 def test_annual_totals_show_every_year(spark):
     rows = [(datetime.date(2024 + i, 6, 1), "1", "강남", 8, "board", 1_000_000 * (i + 1)) for i in range(3)]
     focus = dims.default_focus()

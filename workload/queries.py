@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +15,7 @@ from tapflow.operators import aggregates, clusters, distributions, features, loo
 from tapflow.operators import prices, reshape, scaling, silhouette
 from tapflow.plans import chart_tables as charts, snapshots
 from tapflow.sources import pages, tables
+from tapflow.staging import checkpointed, shared_folder
 from workload import inputs
 from workload.inputs import FOCUS, table
 
@@ -79,8 +79,7 @@ def union_tagged(spark, sf):
 @query
 def parquet_round_trip(spark, sf):
     """Hour totals of a written and re-read daily partition table."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    path = os.path.join(root, f"tapflow-round-trip-{spark.sparkContext.applicationId}")
+    path = f"{shared_folder(spark)}/tapflow-round-trip-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     long = inputs.taps_by_type(spark, sf)
     tables.write_stage(long, path, partition_by=["year_month"], sort_by=["station", "hour"])
     return aggregates.hour_totals(tables.read_stage(spark, path, long.schema))
@@ -199,11 +198,11 @@ def column_labels(spark, sf):
 
 @query
 def entity_ids(spark, sf):
-    """Dense ids of users in name order, attached to every tap and counted."""
-    long = lookup.assign_station_id(inputs.taps_by_user(spark, sf))
-    return long.groupBy("station", "station_id").agg(
+    """Dense ids of users in name order, with their taps; ids join one row per user."""
+    by_user = inputs.taps_by_user(spark, sf).groupBy("station").agg(
         F.count("*").alias("n_rows"), F.sum("count").alias("taps")
     )
+    return lookup.assign_station_id(by_user)
 
 
 @query
@@ -238,8 +237,8 @@ def focus_semi(spark, sf):
     focus = events.where((F.col("event_type") == "purchase") & (F.col("value") > mean)).select(
         F.col("user_id").cast("string").alias("station")
     ).distinct()
-    kept = lookup.keep_entities(inputs.taps_by_user(spark, sf), focus)
-    return kept.groupBy("station").agg(F.sum("count").alias("taps"))
+    by_user = inputs.taps_by_user(spark, sf).groupBy("station").agg(F.sum("count").alias("taps"))
+    return lookup.keep_entities(by_user, focus)
 
 
 @query
@@ -414,8 +413,7 @@ def station_features(spark, sf):
 @query
 def station_features_with_id(spark, sf):
     """The flagship with carried ids and the long labelled form."""
-    long = lookup.assign_station_id(inputs.taps_by_user(spark, sf))
-    wide = features.station_features(long)
+    wide = lookup.assign_station_id(inputs.features_by_user(spark, sf))
     cells = features.feature_labels(wide).join(wide.select("station", "station_id"), "station")
     return rounded(cells.select("station", "station_id", "feature_order", "label", "value"), 6, "value")
 
@@ -436,26 +434,24 @@ def ecdf(spark, sf):
     return rounded(distributions.ecdf(samples), 9, "share", "cumulative")
 
 
-def _first_against_all(samples: DataFrame) -> DataFrame:
+def _first_against_all(spark, sf) -> DataFrame:
+    """KS rows of the first user and every other one; samples, one row per user, are kept."""
+    samples = checkpointed(distributions.hour_samples(inputs.taps_by_user(spark, sf)))
     first = samples.agg(F.min("station")).scalar()
-    others = samples.select(F.col("station").alias("station_b")).distinct()
-    return others.select(first.alias("station_a"), "station_b").where(
-        F.col("station_a") != F.col("station_b")
-    )
+    pairs = samples.select(first.alias("station_a"), F.col("station").alias("station_b"))
+    return distributions.ks_two_sample(samples, pairs.where("station_a <> station_b"))
 
 
 @query
 def ks_two_sample(spark, sf):
     """KS distance of the first user to every other user."""
-    samples = distributions.hour_samples(inputs.taps_by_user(spark, sf))
-    results = distributions.ks_two_sample(samples, _first_against_all(samples))
-    return rounded(results.drop("gap", "n_a", "n_b"), 9, "ks", "at_share", "cdf_a", "cdf_b")
+    results = _first_against_all(spark, sf).drop("gap", "n_a", "n_b")
+    return rounded(results, 9, "ks", "at_share", "cdf_a", "cdf_b")
 
 
 @query
 def ks_p_value(spark, sf):
-    samples = distributions.hour_samples(inputs.taps_by_user(spark, sf))
-    results = distributions.ks_p_values(distributions.ks_two_sample(samples, _first_against_all(samples)))
+    results = distributions.ks_p_values(_first_against_all(spark, sf))
     return rounded(results.select("station_a", "station_b", "ks", "p_exact", "p_limit"), 9,
                    "ks", "p_exact", "p_limit")
 
