@@ -116,8 +116,8 @@ def choose_k_and_cluster(features: DataFrame, k_range: tuple[int, int] = (2, 8),
     order = sorted(range(chosen.k), key=lambda i: (-chosen.sizes[i], tuple(chosen.centers[i])))
     renumbered = constant_table(spark, ["found", "cluster"], [(old, new) for new, old in enumerate(order)])
     centroids_scaled = _centroid_table(spark, [chosen.centers[i] for i in order])
-    centroids = checkpointed(scaler.inverse(centroids_scaled))
-    names = checkpointed(archetype_names(centroids))
+    centroids = scaler.inverse(centroids_scaled)
+    names = archetype_names(centroids)
     identity = [name for name in ("station", "station_id") if name in features.columns]
     assignment = assigned.select("station", F.col(names_of[chosen.k]).alias("found")).join(renumbered, "found")
     labels = with_names(

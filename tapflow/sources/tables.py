@@ -28,13 +28,14 @@ def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None, mode: str = "overwrite") -> str:
     """Write a stage table as Parquet.
 
-    With ``partition_by`` the rows are range-split on those columns and ``sort_by``,
-    so that a large month spreads over several tasks and each task opens few files.
+    Rows are range-split on the partition and sort columns and, within equal ones, on a
+    hash of the whole row: each task opens few folders, and a month, station or hour with
+    a large part of the rows spreads over several tasks. Files are sorted by the columns.
     """
     partition_by, sort_by = partition_by or [], sort_by or []
     keys = partition_by + sort_by
     if keys:
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        df = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -66,6 +66,17 @@ def test_stage_round_trip(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan
 
 
+def test_a_hot_key_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(40_000).select(F.lit("202401").alias("month"), F.col("id"))
+    previous = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_stage(df, str(tmp_path / "hot"), partition_by=["month"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", previous)
+    assert len(list((tmp_path / "hot" / "month=202401").glob("*.parquet"))) > 4
+
+
 def test_tags_and_stamp(spark):
     tagged = tables.with_provenance(tables.tag_rows(spark.range(1), 법정동코드="11680", 조회년월="202401"), "landed")
     row = tagged.first()
