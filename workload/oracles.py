@@ -166,6 +166,17 @@ p_values AS (
                FROM range(1, 101) j))) END AS p_limit
     FROM ks)"""
 
+POINTS = f"""{LABELS}, complete AS (SELECT * FROM features WHERE weekend_weekday_ratio IS NOT NULL),
+user_focus(station, en_name) AS (VALUES ('1', 'User one'), ('2', 'User two'), ('3', 'User three')),
+points AS (
+    SELECT c.*, l.cluster, l.cluster_name, coalesce(u.en_name, c.station) AS display_name,
+           u.en_name IS NOT NULL AS in_focus,
+           (evening_peak_intensity - (SELECT avg(evening_peak_intensity) FROM complete))
+               / (SELECT stddev_pop(evening_peak_intensity) FROM complete) AS x,
+           (late_night_share - (SELECT avg(late_night_share) FROM complete))
+               / (SELECT stddev_pop(late_night_share) FROM complete) AS y
+    FROM complete c JOIN labels l ON l.station = c.station LEFT JOIN user_focus u ON u.station = c.station)"""
+
 
 def _rounded(names: list[str], digits: int) -> str:
     return ", ".join(f'round("{name}", {digits}) + 0.0 AS "{name}"' for name in names)
@@ -504,6 +515,22 @@ ORACLES: dict[str, str] = {
                    AS alight_thousands,
                round(coalesce(sum(cnt) FILTER (WHERE hour = 8 AND direction = 'board'), 0) / 1e3, 3) AS board_thousands
         FROM taps JOIN focus USING (station) GROUP BY ALL""",
+    "chart_i_given": f"""
+        WITH {BY_USER}, {POINTS} SELECT station, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y, cluster, cluster_name,
+               printf('%s (%s) | Morning peak: %.3f | Late-night: %.3f | AM asymmetry: %+.3f | Weekend bal.: %.2f',
+                      display_name, station, round(morning_peak_intensity, 3), round(late_night_share, 3),
+                      round(directional_asymmetry_peak, 3), round(weekend_weekday_ratio, 2)) AS hover,
+               CASE WHEN in_focus THEN display_name END AS annotation
+        FROM points""",
+    "chart_k_given": f"""
+        WITH {BY_USER}, {POINTS} SELECT layer, station, display_name, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y,
+               cluster, cluster_name
+        FROM (SELECT *, 'background' AS layer FROM points
+              UNION ALL SELECT *, 'focus' FROM points WHERE in_focus)""",
+    "snap_points_given": f"""
+        WITH {BY_USER}, {POINTS} SELECT cluster_name, station, display_name, round(x, 3) + 0.0 AS x,
+               round(y, 3) + 0.0 AS y, in_focus
+        FROM points""",
     "chart_j": f"""
         WITH {BY_USER}, {NAMES}, c AS (SELECT centroids.*, cluster_name FROM centroids JOIN names USING (cluster))
         {_ring("c", "eps", fixed.CENTROID_AXES, 4, "cluster, cluster_name")}""",

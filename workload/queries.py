@@ -613,6 +613,35 @@ def chart_i(spark, sf):
     return charts.chart_i(*_labelled_points(spark, sf), USER_FOCUS)
 
 
+def _given_points(spark, sf):
+    """Features, labels under the fixed assignment, and two standardised features as plane."""
+    complete, _ = features.complete_features(inputs.features_by_user(spark, sf))
+    scaled = scaling.fit_standard(complete, fixed.FEATURES).transform(complete)
+    plane = scaled.select(
+        "station", F.col("evening_peak_intensity").alias("x"), F.col("late_night_share").alias("y")
+    )
+    return complete, inputs.given_labels(spark, sf), plane
+
+
+@query
+def chart_i_given(spark, sf):
+    """Points, hover texts and annotations under the fixed assignment."""
+    return rounded(charts.chart_i(*_given_points(spark, sf), USER_FOCUS), 6, "x", "y")
+
+
+@query
+def chart_k_given(spark, sf):
+    """Background and focus layers under the fixed assignment."""
+    return rounded(charts.chart_k(*_given_points(spark, sf), USER_FOCUS), 6, "x", "y")
+
+
+@query
+def snap_points_given(spark, sf):
+    """Snapshot points under the fixed assignment."""
+    _, labels, plane = _given_points(spark, sf)
+    return rounded(snapshots.cluster_points(labels, plane, USER_FOCUS), 3, "x", "y")
+
+
 @query
 def chart_j(spark, sf):
     centroids = inputs.given_centroids(spark, sf)
