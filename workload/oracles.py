@@ -536,14 +536,14 @@ ORACLES: dict[str, str] = {
         {_ring("c", "eps", fixed.CENTROID_AXES, 4, "cluster, cluster_name")}""",
     "chart_m": f"""
         WITH {PRICE_INDEX}, {CHANGES}
-        SELECT i.gu_code, year_month, round(median_price / 1e6, 6) AS price_millions,
+        SELECT i.gu_code, year_month, round(median_price / 1e6, 8) AS price_millions,
                round(CASE WHEN n_points >= 2 THEN (last_value / first_value - 1) * 100 END, 6) AS change_pct,
                coalesce(en_name, i.gu_code) AS display_name
         FROM price_index i JOIN ends USING (gu_code) LEFT JOIN labelled USING (gu_code)""",
     "chart_n": f"""
         WITH {PRICE_INDEX}, {CHANGES}
-        SELECT gu_code, coalesce(en_name, gu_code) AS display_name, round(first_value / 1e6, 6) AS start_price,
-               round(last_value / 1e6, 6) AS end_price,
+        SELECT gu_code, coalesce(en_name, gu_code) AS display_name, round(first_value / 1e6, 8) AS start_price,
+               round(last_value / 1e6, 8) AS end_price,
                round((last_value / first_value - 1) * 100, 6) AS change_pct,
                CAST(row_number() OVER (ORDER BY last_value / 1e6 - first_value / 1e6, gu_code) AS INTEGER) AS slope_order
         FROM ends LEFT JOIN labelled USING (gu_code)""",

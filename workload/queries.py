@@ -656,14 +656,16 @@ def chart_k(spark, sf):
 @query
 def chart_m(spark, sf):
     index = prices.monthly_price_index(inputs.trades(spark, sf))
-    return rounded(charts.chart_m(index, charts.price_region_labels(spark)), 6, "price_millions", "change_pct")
+    rows = charts.chart_m(index, charts.price_region_labels(spark))
+    return rounded(rounded(rows, 8, "price_millions"), 6, "change_pct")
 
 
 @query
 def chart_n(spark, sf):
     index = prices.monthly_price_index(inputs.trades(spark, sf))
-    return rounded(charts.chart_n(index, charts.price_region_labels(spark)), 6,
-                   "start_price", "end_price", "change_pct")
+    rows = charts.chart_n(index, charts.price_region_labels(spark))
+    # Medians end in quarters of a KRW, so 8 digits of a million are exact and hold no ties.
+    return rounded(rounded(rows, 8, "start_price", "end_price"), 6, "change_pct")
 
 
 @query
