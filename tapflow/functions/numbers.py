@@ -42,6 +42,12 @@ def percent_change(first: Column, last: Column) -> Column:
     return (ratio_or_null(last, first) - 1) * 100
 
 
+def settled_round(value: Column, digits: int) -> Column:
+    """Round at ``digits`` after dropping the last bits, which depend on the order in which
+    tasks add up; so a tie falls the same way in every run."""
+    return F.round(F.round(value, digits + 8), digits)
+
+
 def thousands(value: Column) -> Column:
     return value / F.lit(1e3)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tapflow import fixed
 from tapflow.functions.arrays import ordered_values
-from tapflow.functions.numbers import ratio_or_null, ratio_or_zero
+from tapflow.functions.numbers import ratio_or_null, ratio_or_zero, settled_round
 from tapflow.functions.text import balance_label, column_label, signed_percent
 from tapflow.operators.reshape import (
     dense_hours, hour_profile, in_day, slot_sums, slot_total, slots,
@@ -36,9 +36,9 @@ def column_distinctiveness(long: DataFrame, top: int = fixed.DISTINCTIVE_COLUMNS
     measured = by_column.select(
         "hour", "direction",
         column_label(F.col("hour"), F.col("direction")).alias("column_label"),
-        F.round("mean", 1).alias("mean_riders"),
-        F.round("std", 1).alias("std_riders"),
-        F.round(
+        settled_round(F.col("mean"), 1).alias("mean_riders"),
+        settled_round(F.col("std"), 1).alias("std_riders"),
+        settled_round(
             F.when(F.col("mean") > 0, F.try_divide("std", "mean")).otherwise(0.0), 4
         ).alias("cv"),
     )

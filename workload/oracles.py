@@ -124,8 +124,9 @@ columns AS (
            avg(mean_count) AS mean, stddev_pop(mean_count) AS std
     FROM cells GROUP BY hour, direction),
 measured AS (
-    SELECT hour, direction, column_label, round(mean, 1) AS mean_riders, round(std, 1) AS std_riders,
-           round(CASE WHEN mean > 0 THEN std / mean ELSE 0 END, 4) AS cv
+    SELECT hour, direction, column_label, round(round(mean, 9), 1) AS mean_riders,
+           round(round(std, 9), 1) AS std_riders,
+           round(round(CASE WHEN mean > 0 THEN std / mean ELSE 0 END, 12), 4) AS cv
     FROM columns),
 ranked AS (
     SELECT *, CAST(row_number() OVER (ORDER BY cv DESC, hour, direction) AS INTEGER) AS rank FROM measured)"""
