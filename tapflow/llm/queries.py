@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tapflow.llm.block_dedup import remove_repeats
 from tapflow.llm.near_dups import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,14 @@ def op1_near_duplicates(spark, sf):
     """Near-duplicate components of all documents at a similarity of 75 of 100."""
     found = near_duplicates(table(spark, sf, "documents"), part=75, whole=100, size=5)
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+@query
+def op9_block_anchors(spark, sf):
+    """Words of all documents left after removing repeated passages of 20 words or more."""
+    found = remove_repeats(table(spark, sf, "documents"), window=20, block=10)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
+    return found.select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
