@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm.block_dedup import remove_repeats
+from tapflow.llm import block_dedup, suffix_dedup
 from tapflow.llm.near_dups import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,10 +28,21 @@ def op1_near_duplicates(spark, sf):
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+@query
+def op6_suffix_sort(spark, sf):
+    """Bytes of all documents left after removing repeated strings of 100 bytes or more."""
+    found = suffix_dedup.remove_repeats(table(spark, sf, "documents"), window=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op9_block_anchors(spark, sf):
     """Words of all documents left after removing repeated passages of 20 words or more."""
-    found = remove_repeats(table(spark, sf, "documents"), window=20, block=10)
+    found = block_dedup.remove_repeats(table(spark, sf, "documents"), window=20, block=10)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
     return found.select(
         "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"),
