@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import block_dedup, suffix_dedup
+from tapflow.llm import block_dedup, hilbert, mixing, suffix_dedup
 from tapflow.llm.near_dups import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,27 @@ def op6_suffix_sort(spark, sf):
     )
 
 
+@query
+def op7_mixture(spark, sf):
+    """Words taken of each document when sources are mixed by weights 3, 1, 2 to 150 % of all words."""
+    return mixing.mixture_report(table(spark, sf, "documents"), weights=[3, 1, 2], share=1.5, most=2.0)
+
+
+@query
+def op8_hilbert_shards(spark, sf):
+    """All documents in 40 shards along a Hilbert curve through source, language and size; the law is rows."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    narrow = table(spark, sf, "documents").select(
+        "doc_id", "source", "lang", (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"),
+    )
+    placed = hilbert.hilbert_shards(narrow, ["source", "lang", "size"], shards=40, ties=["text_hash", "doc_id"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve_index",
+    )
+
+
 @query
 def op9_block_anchors(spark, sf):
     """Words of all documents left after removing repeated passages of 20 words or more."""
