@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import block_dedup, hilbert, mixing, suffix_dedup
+from tapflow.llm import block_dedup, hilbert, mixing, rules, suffix_dedup
 from tapflow.llm.near_dups import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,15 @@ def op1_near_duplicates(spark, sf):
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+@query
+def op2_isolation_rules(spark, sf):
+    """Rule statistics of all documents and the verdict of base rules and isolation forest."""
+    found = rules.quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly",
+    )
+
+
 @query
 def op6_suffix_sort(spark, sf):
     """Bytes of all documents left after removing repeated strings of 100 bytes or more."""
