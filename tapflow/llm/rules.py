@@ -206,7 +206,7 @@ def fitted_forest(rates: DataFrame, sample: int = SAMPLE) -> IsolationForest:
 
 
 def calibrated(judged: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS) -> float:
-    """The anomaly from which documents are rejected, from all labelled rows.
+    """The anomaly from which documents are rejected, from all labelled rows of ``judged``.
 
     Of all thresholds that reject at most ``clean_loss`` of the good rows, the one that
     rejects most bad rows (the highest such). Without good or bad rows nothing is rejected.
@@ -232,7 +232,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_
     The counts cover whole texts. Rates made from them count by how much they exceed what
     rows labelled good show. The forest's trees are grown on samples of ``LEAF_SAMPLE`` out
     of ``sample`` documents; every document is scored by its path lengths, and the threshold
-    comes from all labelled rows. Result: doc_id, the rule counts, anomaly, threshold, base_failed (under
+    comes from all labelled rows that pass the base rules. Result: doc_id, the rule counts, anomaly, threshold, base_failed (under
     10 words, or more than 20 % of words in repeated 5-word windows), kept. Null or empty
     texts have no words and fail; null doc_ids are judged but never match a label; repeated
     rows are judged each. A missing label is no label.
@@ -240,8 +240,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_
     stats = written(statistics(docs, text), "statistics")
     rates = excesses(stats, labels)
     judged = scored(rates, fitted_forest(rates, sample))
-    threshold = calibrated(judged, labels, clean_loss)
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
+    threshold = calibrated(judged.where(~failed), labels, clean_loss)
     return judged.drop(*EXCESS).withColumn("threshold", F.lit(threshold)).withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("anomaly") < F.col("threshold"))
     )
