@@ -1,3 +1,30 @@
 """SQL twins of the registered queries, where SQL can express them."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op5_perspectives"] = """
+WITH placed AS (
+    SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS content,
+           row_number() OVER (
+               PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')
+           ) - 1 AS place
+    FROM conversations
+), speakers AS (
+    SELECT DISTINCT conv_id, role AS speaker FROM placed WHERE role <> 'system'
+), said AS (
+    SELECT p.conv_id, s.speaker, CAST(p.place // 256 AS BIGINT) AS part, p.place, p.role = s.speaker AS speaks,
+           '<|' || CASE WHEN p.role = s.speaker THEN 'assistant' WHEN p.role = 'system' THEN 'system'
+                        ELSE 'user name=' || p.role END || '|>' || chr(10) AS head,
+           p.content || chr(10) || '<|end|>' || chr(10) AS body
+    FROM placed p JOIN speakers s ON p.conv_id IS NOT DISTINCT FROM s.conv_id
+), measured AS (
+    SELECT *, sum(length(head) + length(body)) OVER (
+        PARTITION BY conv_id, part, speaker ORDER BY place) - length(body) AS low
+    FROM said
+)
+SELECT conv_id, part, speaker, count(*) AS n_turns, string_agg(head || body, '' ORDER BY place) AS text,
+       coalesce(string_agg(CASE WHEN speaks THEN CAST(low AS VARCHAR) || '-' || CAST(low + length(body) AS VARCHAR) END,
+                           ',' ORDER BY place), '') AS mask
+FROM measured GROUP BY conv_id, part, speaker
+"""

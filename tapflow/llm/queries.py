@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import block_dedup, hilbert, mixing, rules, suffix_dedup
+from tapflow.llm import block_dedup, hilbert, mixing, perspectives, rules, suffix_dedup, tiling
 from tapflow.llm.near_dups import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,20 @@ def op2_isolation_rules(spark, sf):
     )
 
 
+@query
+def op4_string_tiling(spark, sf):
+    """Every document with the benchmark items whose words its tiles cover to 60 % or more."""
+    return tiling.flagged(table(spark, sf, "documents"), table(spark, sf, "benchmark"), shortest=5, covered=0.6)
+
+
+@query
+def op5_perspectives(spark, sf):
+    """Every conversation from the perspective of every participant."""
+    found = perspectives.rotated(table(spark, sf, "conversations"), turns_per_part=256)
+    spans = F.transform("mask", lambda x: F.concat_ws("-", x["start"], x["end"]))
+    return found.withColumn("mask", F.array_join(spans, ","))
+
+
 @query
 def op6_suffix_sort(spark, sf):
     """Bytes of all documents left after removing repeated strings of 100 bytes or more."""
