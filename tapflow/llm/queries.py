@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import block_dedup, hilbert, mixing, perspectives, rules, suffix_dedup, tiling
+from tapflow.llm import block_dedup, byte_conv, hilbert, mixing, perspectives, rules, suffix_dedup, tiling
 from tapflow.llm.near_dups import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op9_block_anchors(spark, sf):
         "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"),
         F.size("spans").cast("long").alias("n_spans"),
     )
+
+
+@query
+def op10_byte_network(spark, sf):
+    """Quality score of every document by a byte-level network learned from rows not held out."""
+    return byte_conv.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
