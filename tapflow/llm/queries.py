@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import block_dedup, byte_conv, hilbert, mixing, perspectives, rules, suffix_dedup, tiling
+from tapflow.llm import block_dedup, byte_conv, hilbert, mixing, perspectives, rules, suffix_dedup, tiling, warc
 from tapflow.llm.near_dups import near_duplicates
+from tapflow.llm.store import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,6 +38,14 @@ def op2_isolation_rules(spark, sf):
     )
 
 
+@query
+def op3_warc_pages(spark, sf):
+    """All pages written as WARC records, equal payloads as revisits, and read back from the archives."""
+    path = new_folder(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, sf, "pages"), least=0), path)
+    return warc.read_pages(spark, path)
+
+
 @query
 def op4_string_tiling(spark, sf):
     """Every document with the benchmark items whose words its tiles cover to 60 % or more."""
