@@ -109,10 +109,10 @@ def tickets(targets: DataFrame, block: int, shards: int, seed: int) -> DataFrame
 
 def placed_documents(docs: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     """Documents in a fixed pseudorandom order inside their source, with the word each starts at."""
-    order = ["none", "name", F.xxhash64("doc_id", F.lit(seed)), "doc_id", "size", *([F.xxhash64("text")] if "text" in docs.columns else [])]
+    order = ["none", "name", F.xxhash64("doc_id", F.lit(seed)), "doc_id", "text_hash"]
     running = in_global_order(docs, order, "ahead", "size")
     about = targets.select("none", "name", "number", "source_size", "target", "base")
-    return running.join(about, ["none", "name"]).withColumn("start", F.col("ahead") - F.col("base")).drop("ahead", "base", "none", "name")
+    return running.join(about, ["none", "name"]).withColumn("start", F.col("ahead") - F.col("base")).drop("ahead", "base", "none", "name", "text_hash")
 
 
 def pieces(placed: DataFrame, block: int) -> DataFrame:
@@ -129,12 +129,13 @@ def pieces(placed: DataFrame, block: int) -> DataFrame:
 
 def mixed(
     docs: DataFrame, weights: list[float], share: float, most: float = 2.0, block: int = BLOCK,
-    shards: int = SHARDS, seed: int = 7, text: str = "text", keep_text: bool = False,
+    shards: int = SHARDS, seed: int = 7, text: str = "text", carry: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Mix sources to target weights. Returns (documents, draws).
 
     documents: one row per row of ``docs`` with doc_id, size (words), number (of its source),
-    start (its place in the source's stream), source_size, target, and the text if wanted.
+    start (its place in the source's stream), source_size, target; with ``carry`` also row, a
+    struct of all its columns.
     draws: one row per piece of a document in a drawn block: shard, slot, number, start,
     pass, first and last word (half-open, counted in the document).
 
@@ -145,7 +146,7 @@ def mixed(
     """
     columns = ["doc_id", word_count(text).alias("size"), F.col("source").isNull().alias("none"),
                F.coalesce("source", F.lit("")).alias("name")]
-    rows = docs.select(*columns, *([F.col(text).alias("text")] if keep_text else []))
+    rows = docs.select(*columns, F.xxhash64(text).alias("text_hash"), *([F.struct(*docs.columns).alias("row")] if carry else []))
     sizes = rows.groupBy("none", "name").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     placed = placed_documents(rows, targets, seed)
@@ -167,3 +168,23 @@ def mixture_report(docs: DataFrame, weights: list[float], share: float, most: fl
     return full.select(*out, F.coalesce("taken", F.lit(0)).cast("long").alias("taken")).unionByName(
         placed.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken"))
     )
+
+
+def mixed_documents(docs: DataFrame, weights: list[float], share: float, most: float = 2.0, block: int = BLOCK, **more) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: one row per document and pass.
+
+    A document that a pass takes whole keeps its text; of others the row holds the words of
+    the drawn blocks, in order, joined by spaces. n_chars, where there is one, is counted anew.
+    """
+    placed, draws = mixed(docs, weights, share, most, block, carry=True, **more)
+    part = F.struct(F.col("first").alias("at"), (F.col("last") - F.col("first")).alias("n"))
+    taken = draws.groupBy("number", "start", "pass").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.sum("last").alias("ends"), F.sum("first").alias("begins"))
+    rows = placed.where("size > 0").join(taken, ["number", "start"])
+    found = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
+    some = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(found, (x["at"] + 1).cast("int"), x["n"].cast("int")))), " ")
+    whole = F.col("ends") - F.col("begins") == F.col("size")
+    own = {c: F.col("row")[c] for c in docs.columns}
+    out = rows.select(*(value.alias(c) for c, value in own.items() if c not in ("text", "n_chars")), F.when(whole, own["text"]).otherwise(some).alias("text"))
+    if "n_chars" in own:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

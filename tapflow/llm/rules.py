@@ -95,19 +95,24 @@ def counted(data: np.ndarray, offsets: np.ndarray, window: int = 5) -> dict[str,
     }
 
 
-def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and the rule counts of every whole text."""
+def statistics(docs: DataFrame, text: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id and the rule counts of every whole text; ``carry`` adds all columns as _0, _1, ..."""
+    columns = docs.columns if carry else []
+    chosen = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), *(F.col(c).alias(f"_{i}") for i, c in enumerate(columns))
+    )
+    kept = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
+    names = ["doc_id", *(f"_{i}" for i in range(len(columns))), *COUNTS]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = laid_out(batch.column(1))
             for first, end, part, places in chunks(data, offsets):
                 found = counted(part, places)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), *(pa.array(found[c], pa.int64()) for c in COUNTS)], ["doc_id", *COUNTS]
-                )
+                own = [batch.column(i).slice(first, end - first) for i in range(batch.num_columns) if i != 1]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(found[c], pa.int64()) for c in COUNTS)], names)
 
-    return docs.select("doc_id", text).mapInArrow(count, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return chosen.mapInArrow(count, "doc_id long, " + (kept + ", " if kept else "") + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def _rates() -> dict:
@@ -120,22 +125,24 @@ def _rates() -> dict:
     }
 
 
-def excesses(stats: DataFrame, labels: DataFrame, within: float = WITHIN) -> DataFrame:
-    """Add, for each rate, by how much it exceeds what good rows show; words may also be too short.
-
-    The limits are percentiles over all rows labelled good (over all rows if none is).
-    """
-    rates = stats.withColumns({f"_{name}": rate for name, rate in _rates().items()})
-    names = [f"_{name}" for name in _rates()]
-    good = rates.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
-    asked = [F.percentile_approx(n, within, 10_000).alias(n) for n in names]
-    asked.append(F.percentile_approx("_word_length", 1 - within, 10_000).alias("_short"))
+def good_limits(stats: DataFrame, labels: DataFrame, within: float = WITHIN) -> dict[str, float]:
+    """What good rows show of each rate: percentiles over all rows labelled good (all rows if none is)."""
+    rates = _rates()
+    asked = [F.percentile_approx(rate, within, 10_000).alias(n) for n, rate in rates.items()]
+    asked.append(F.percentile_approx(rates["word_length"], 1 - within, 10_000).alias("short"))
+    good = stats.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
     limits = good.agg(*asked).first()
-    if limits["_short"] is None:
-        limits = rates.agg(*asked).first()
-    over = {f"over{n}": F.greatest(F.col(n) - F.lit(limits[n] or 0.0), F.lit(0.0)) for n in names}
-    over["over_short"] = F.greatest(F.lit(limits["_short"] or 0.0) - F.col("_word_length"), F.lit(0.0))
-    return rates.withColumns(over).drop(*names)
+    if limits["short"] is None:
+        limits = stats.agg(*asked).first()
+    return {name: value or 0.0 for name, value in limits.asDict().items()}
+
+
+def excesses(stats: DataFrame, limits: dict[str, float]) -> DataFrame:
+    """Add by how much each rate exceeds its limit; words may also be too short."""
+    rates = _rates()
+    over = {f"over_{n}": F.greatest(rate - F.lit(limits[n]), F.lit(0.0)) for n, rate in rates.items()}
+    over["over_short"] = F.greatest(F.lit(limits["short"]) - rates["word_length"], F.lit(0.0))
+    return stats.withColumns(over)
 
 
 EXCESS = ["over_word_length", "over_symbols", "over_same_lines", "over_repeated", "over_upper", "over_digits", "over_marks", "over_short"]
@@ -226,22 +233,32 @@ def calibrated(judged: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_L
     return float(allowed[np.flatnonzero(best == best.max())[-1]]) / BINS
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS, sample: int = SAMPLE, text: str = "text") -> DataFrame:
+def quality_rules(
+    docs: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS, sample: int = SAMPLE, text: str = "text", carry: bool = False,
+) -> DataFrame:
     """Judge every document by base rules and by an isolation forest on its rule statistics.
 
     The counts cover whole texts. Rates made from them count by how much they exceed what
     rows labelled good show. The forest's trees are grown on samples of ``LEAF_SAMPLE`` out
     of ``sample`` documents; every document is scored by its path lengths, and the threshold
-    comes from all labelled rows that pass the base rules. Result: doc_id, the rule counts, anomaly, threshold, base_failed (under
-    10 words, or more than 20 % of words in repeated 5-word windows), kept. Null or empty
-    texts have no words and fail; null doc_ids are judged but never match a label; repeated
-    rows are judged each. A missing label is no label.
+    comes from all labelled rows that pass the base rules. Result: doc_id, the rule counts,
+    anomaly, threshold, base_failed (under 10 words, or more than 20 % of words in repeated
+    5-word windows), kept. With ``carry`` the result is the kept rows of ``docs`` with their
+    own columns, whatever their names. Null or empty texts have no words and fail; null
+    doc_ids are judged but never match a label; repeated rows are judged each.
     """
     stats = written(statistics(docs, text), "statistics")
-    rates = excesses(stats, labels)
-    judged = scored(rates, fitted_forest(rates, sample))
-    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
-    threshold = calibrated(judged.where(~failed), labels, clean_loss)
-    return judged.drop(*EXCESS).withColumn("threshold", F.lit(threshold)).withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("anomaly") < F.col("threshold"))
-    )
+    limits = good_limits(stats, labels)
+    rates = excesses(stats, limits)
+    forest = fitted_forest(rates, sample)
+    judged = scored(rates, forest).withColumn("base_failed", _failed())
+    threshold = calibrated(judged.where("NOT base_failed"), labels, clean_loss)
+    kept = ~F.col("base_failed") & (F.col("anomaly") < F.lit(threshold))
+    if carry:
+        rows = scored(excesses(statistics(docs, text, carry=True), limits), forest).withColumn("base_failed", _failed())
+        return rows.where(kept).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
+    return judged.drop(*EXCESS).withColumn("threshold", F.lit(threshold)).withColumn("kept", kept)
+
+
+def _failed():
+    return (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
