@@ -16,7 +16,8 @@ from tapflow.llm.text import LOWER, chunks, laid_out, seeds, spans, prefix, wind
 HASHES = 128
 ROWS = 4
 BITS = 4
-TILE = 128
+# Shingles that a tile of an unsettled bucket may hold.
+TILE = 1 << 18
 # Standard deviations by which an estimate may fall short of the threshold.
 SLACK = 5.0
 
@@ -150,59 +151,66 @@ def estimate(left: str, right: str, hashes: int, bits: int):
     return corrected(F.lit(hashes) - differing, hashes, bits)
 
 
-def _close_pairs(sketches: np.ndarray, row: int, bits: int, hashes: int) -> np.ndarray:
-    """Estimates of one sketch against all sketches of a tile."""
-    apart = sketches ^ sketches[row]
-    folded = apart.copy()
-    for step in range(1, bits):
-        folded |= apart >> np.uint64(step)
-    folded &= np.uint64(group_mask(bits) & (1 << 64) - 1)
-    return corrected(hashes - np.bitwise_count(folded).sum(axis=1), hashes, bits)
+def _tile_links(nodes: list[int], roots: list[int], sets: list[np.ndarray], part: int, whole: int) -> list[tuple[int, int]]:
+    """Links that join different components of a tile; a forest over them.
 
-
-def _tile_links(rows: list[tuple], least: float, part: int, whole: int, hashes: int, bits: int) -> list[tuple[int, int]]:
-    """Links between different components inside a tile, or across its two sides; a forest."""
-    sides = np.array([r[0] for r in rows])
-    sketches = np.array([r[3] for r in rows], dtype=np.int64).view(np.uint64)
-    sizes = np.array([len(r[4]) for r in rows])
-    parent: dict[int, int] = {}
+    Every pair of different components has a member outside the largest component. Each such
+    member is held against all sets at once: its shingles are marked, and the marks are
+    counted set by set.
+    """
+    parent = {x: x for x in roots}
 
     def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
+        while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    two, found = sides.any(), []
-    for a in range(len(rows)):
-        if two and sides[a]:
-            continue
-        near = _close_pairs(sketches, a, bits, hashes) >= least
-        near &= whole * np.minimum(sizes, sizes[a]) >= part * np.maximum(sizes, sizes[a])
-        near[: a + 1] &= two
-        if two:
-            near &= sides == 1
-        for b in np.flatnonzero(near):
-            if root(rows[a][2]) == root(rows[b][2]):
-                continue
-            common = len(np.intersect1d(rows[a][4], rows[b][4], assume_unique=True))
-            if whole * common >= part * (sizes[a] + sizes[b] - common):
-                parent[root(rows[a][2])] = root(rows[b][2])
-                found.append((rows[a][1], rows[b][1]))
+    sizes = np.array([len(x) for x in sets])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    distinct, number = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(len(distinct), np.int32)
+    names, counts = np.unique(roots, return_counts=True)
+    largest, found = names[np.argmax(counts)], []
+    for a in np.flatnonzero(np.array(roots) != largest):
+        mine = number[bounds[a]: bounds[a + 1]]
+        marked[mine] = 1
+        common = np.add.reduceat(marked[number], bounds[:-1])
+        marked[mine] = 0
+        for b in np.flatnonzero(whole * common >= part * (sizes + sizes[a] - common)):
+            if root(roots[a]) != root(roots[b]):
+                parent[root(roots[a])] = root(roots[b])
+                found.append((nodes[a], nodes[b]))
     return found
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach part / whole."""
+def _as_links(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose ends are in different components so far."""
+    for end in ("a", "b"):
+        of_end = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        pairs = pairs.join(of_end, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    return pairs.where("root_a != root_b").select("a", "b")
+
+
+def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, part: int, whole: int) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach part / whole, written to the shared folder."""
+    pairs = written(pairs.select("a", "b"), "pairs")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = _wanted_sets(docs, ids, size)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
-    return pairs.join(right, "b").join(left, "a").where(common * whole >= union * part).select("a", "b")
+    found = pairs.join(right, "b").join(left, "a").where(common * whole >= union * part).select("a", "b")
+    return written(found, "links")
 
 
-def _wanted_sets(docs: DataFrame, ids: DataFrame, size: int, text: str) -> DataFrame:
-    return full_sets(docs.join(ids, "doc_id", "left_semi"), size, text)
+def _wanted_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    return full_sets(docs.join(ids, "doc_id", "left_semi"), size)
 
 
 def near_duplicates(
@@ -245,17 +253,16 @@ def near_duplicates(
         to_hub.join(about.select("rep", F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")), "rep")
         .join(about.select(F.col("rep").alias("hub"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")), "hub")
         .where(F.least("n_a", "n_b") * whole >= F.greatest("n_a", "n_b") * part)
-        .where(estimate("sketch_a", "sketch_b", hashes, bits) >= least)
-        .select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+        .select(F.col("hub").alias("a"), F.col("rep").alias("b"), estimate("sketch_a", "sketch_b", hashes, bits).alias("about"))
+        .where(F.col("about") >= least)
     )
     close = written(close, "close")
-    ids = close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct()
-    starred = written(_confirmed(close, _wanted_sets(docs, ids, size, "text"), part, whole), "links")
-
-    stars = components(starred)
-    mixed = _unsettled(members, stars)
-    crossed = _within_tiles(docs, mixed, about, least, part, whole, size, hashes, bits)
-    roots = components(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(crossed))
+    best = close.groupBy("b").agg(F.max_by("a", F.struct("about", "a")).alias("a"))
+    stars = components(_confirmed(docs, best, size, part, whole))
+    rest = _across(close.select("a", "b"), stars).join(best, ["a", "b"], "left_anti")
+    stars = components(_as_links(stars).union(_confirmed(docs, rest, size, part, whole)))
+    crossed = _within_tiles(docs, _unsettled(members, stars), about, part, whole, size)
+    roots = components(_as_links(stars).union(crossed))
 
     class_of = classes.select("digest", F.col("rep").alias("class_id"))
     return (
@@ -285,38 +292,36 @@ def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(once.select("key", "n"), "key")
 
 
-def _within_tiles(docs, mixed, about, least, part, whole, size, hashes, bits) -> DataFrame:
+def _within_tiles(docs: DataFrame, mixed: DataFrame, about: DataFrame, part: int, whole: int, size: int) -> DataFrame:
     """Confirmed links across components inside the unsettled buckets."""
-    mixed = written(mixed, "mixed")
-    sets = _wanted_sets(docs, mixed.select(F.col("rep").alias("doc_id")).distinct(), size, "text")
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit(3)), tiles).cast("int")
-    placed = mixed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "root",
-    )
-    filled = placed.join(about.select("rep", "sketch"), "rep").join(
-        sets.withColumnRenamed("doc_id", "rep"), "rep"
-    ).select("key", "i", "j", "side", "rep", "root", "sketch", "shingles")
+    mixed = written(mixed.join(about.select("rep", F.col("n").alias("size")), "rep"), "mixed")
+    sets = _wanted_sets(docs, mixed.select(F.col("rep").alias("doc_id")).distinct(), size)
+    tiles = mixed.groupBy("key").agg(F.ceil(F.sum("size") / TILE).cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("tiles")).cast("int")
+    placed = mixed.join(tiles, "key").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    ).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "root")
+    filled = placed.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("key", "i", "j", "rep", "root", "shingles")
     by_tile = filled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, rows = None, []
+        current, nodes, roots, sets = None, [], [], []
         for batch in batches:
             keys = list(zip(*(batch.column(c).to_pylist() for c in range(3))))
-            rest = [batch.column(c).to_pylist() for c in range(3, 6)]
-            sketches = np.asarray(batch.column(6).flatten()).reshape(len(keys), -1)
-            column = batch.column(7)
-            bounds, shingles = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
+            reps, tops = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            column = batch.column(5)
+            bounds, shingles = np.asarray(column.offsets), np.asarray(column.values)
             for at, key in enumerate(keys):
                 if key != current:
-                    yield from done(rows)
-                    current, rows = key, []
-                rows.append((rest[0][at], rest[1][at], rest[2][at], sketches[at], shingles[bounds[at]: bounds[at + 1]].copy()))
-        yield from done(rows)
-
-    def done(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        links = _tile_links(rows, least, part, whole, hashes, bits) if len(rows) > 1 else []
+                    yield from linked(nodes, roots, sets)
+                    current, nodes, roots, sets = key, [], [], []
+                nodes.append(reps[at])
+                roots.append(tops[at])
+                sets.append(shingles[bounds[at]: bounds[at + 1]].copy())
+        yield from linked(nodes, roots, sets)
+
+    def linked(nodes: list[int], roots: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        links = _tile_links(nodes, roots, sets, part, whole) if len(set(roots)) > 1 else []
         if links:
             a, b = zip(*links)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
