@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapflow.functions.numbers import ratio_or_zero
@@ -37,14 +39,24 @@ def ks_exact_p(distance_steps: Column, n: Column) -> Column:
 
 
 def ks_asymptotic_p(distance: Column, n_a: Column, n_b: Column) -> Column:
-    """Limit p-value 2 Σ (−1)^(j−1) exp(−2 j² λ²), λ = D·√(n_a·n_b / (n_a + n_b))."""
+    """Limit p-value of λ = D·√(n_a·n_b / (n_a + n_b)).
+
+    From λ = 1 on 2 Σ (−1)^(j−1) exp(−2 j² λ²); below, where that series converges too
+    slowly, the same function as 1 − √(2π)/λ · Σ exp(−(2j−1)² π² / (8 λ²)).
+    """
     squared = distance * distance * (n_a * n_b / (n_a + n_b))
-    turns = F.sequence(F.lit(1), F.lit(100))
+    turns = F.sequence(F.lit(1), F.lit(20))
     series = F.aggregate(
         turns, F.lit(0.0),
         lambda acc, j: acc + F.when(j % 2 == 1, 2.0).otherwise(-2.0) * F.exp(j * j * squared * -2.0),
     )
-    return F.when(squared < 1e-12, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    odd = F.aggregate(
+        turns, F.lit(0.0),
+        lambda acc, j: acc + F.exp((j * 2 - 1) * (j * 2 - 1) * (-math.pi ** 2 / 8) / F.greatest(squared, F.lit(1e-12))),
+    )
+    small = 1 - math.sqrt(2 * math.pi) / F.sqrt(F.greatest(squared, F.lit(1e-12))) * odd
+    value = F.when(squared < 1, small).otherwise(series)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), value))
 
 
 def ks_distance(a: Column, b: Column) -> Column:
@@ -69,11 +81,14 @@ def ks_distance(a: Column, b: Column) -> Column:
 def ks_two_sample(samples: DataFrame, pairs: DataFrame) -> DataFrame:
     """KS distance for each (station_a, station_b) pair, and where it is attained.
 
-    A pair is one row with both small samples, so nothing is grouped; a station that
-    occurs in very many pairs is split by the join at run time.
+    A pair is one row with both small samples, so nothing is grouped. Each side is first
+    reduced to the stations its pairs name: where one station meets all others, its side is
+    one row, which Spark broadcasts by its size.
     """
     def of(side: str) -> DataFrame:
-        return samples.select(F.col("station").alias(f"station_{side}"), F.col("shares").alias(f"shares_{side}"))
+        key = f"station_{side}"
+        named = samples.select(F.col("station").alias(key), F.col("shares").alias(f"shares_{side}"))
+        return named.join(pairs.select(key).distinct(), key, "left_semi")
 
     both = pairs.select("station_a", "station_b").join(of("a"), "station_a").join(of("b"), "station_b")
     found = both.select(

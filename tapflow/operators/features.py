@@ -25,7 +25,7 @@ def _dense_max(hours: list[int]) -> Column:
 
 
 def station_features(long: DataFrame) -> DataFrame:
-    """One row per station in name order; ``station_id`` is carried when present.
+    """One row per station; ``station_id`` is carried when present.
 
     One grouping by station and hour combines before the exchange (at most 24 rows per
     station and task); a second over those rows forms the day.
@@ -65,19 +65,24 @@ def station_features(long: DataFrame) -> DataFrame:
     return day.select(
         "station", *(["station_id"] if has_id else []),
         *[formulas[name].alias(name) for name in fixed.FEATURES],
-    ).orderBy("station")
+    )
 
 
-def complete_features(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with all six features, and the rejected rest."""
+def is_complete() -> Column:
+    """Whether all six features are defined."""
     complete = F.lit(True)
     for name in fixed.FEATURES:
         complete = complete & F.col(name).isNotNull() & ~F.isnan(name)
-    return features.where(complete), features.where(~complete)
+    return complete
+
+
+def complete_features(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with all six features, and the rejected rest."""
+    return features.where(is_complete()), features.where(~is_complete())
 
 
 def feature_labels(features: DataFrame) -> DataFrame:
-    """Long form: one row per station and feature in display order, with its label."""
+    """Long form: one row per station and feature with its place and label; ids are kept."""
     cells = [
         F.struct(
             F.lit(order).alias("feature_order"), F.lit(name).alias("feature"),
@@ -85,4 +90,5 @@ def feature_labels(features: DataFrame) -> DataFrame:
         )
         for order, (name, label) in enumerate(zip(fixed.FEATURES, fixed.FEATURE_LABELS))
     ]
-    return features.select("station", F.inline(F.array(*cells)))
+    identity = [name for name in ("station", "station_id") if name in features.columns]
+    return features.select(*identity, F.inline(F.array(*cells)))

@@ -1,7 +1,8 @@
 """Entity ids, lookups, flags and set operations.
 
 Lookup tables carry no broadcast hint: Spark broadcasts a side it has measured below
-its threshold and otherwise sort-merges, splitting hot keys at run time.
+its threshold and otherwise sort-merges, splitting hot keys at run time. Each is made
+unique by key first (its smallest row counts), so a doubled key adds no rows.
 """
 
 from __future__ import annotations
@@ -12,6 +13,12 @@ from tapflow.functions.text import contains_all_words, contains_ignoring_case
 from tapflow.operators.running import with_position
 
 
+def _unique(lookup: DataFrame, key: str, *columns: str) -> DataFrame:
+    """One row per key: the smallest combination of the columns."""
+    smallest = F.min(F.struct(*columns)).alias("_row")
+    return lookup.groupBy(key).agg(smallest).select(key, *[F.col(f"_row.{name}").alias(name) for name in columns])
+
+
 def station_ids(long: DataFrame) -> DataFrame:
     """(station, station_id): dense ids from 1 in name order."""
     names = long.where(F.col("station").isNotNull()).select("station").distinct()
@@ -20,17 +27,18 @@ def station_ids(long: DataFrame) -> DataFrame:
 
 def assign_station_id(long: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Add ``station_id``, from a kept id table where one is given."""
-    return long.join(station_ids(long) if ids is None else ids, "station", "left")
+    known = station_ids(long) if ids is None else _unique(ids, "station", "station_id")
+    return long.join(known, "station", "left")
 
 
 def attach_region(long: DataFrame, places: DataFrame) -> DataFrame:
     """Add lat, lon and gu of the station; NULL where the place is not known."""
-    return long.join(places.select("station", "lat", "lon", "gu"), "station", "left")
+    return long.join(_unique(places, "station", "lat", "lon", "gu"), "station", "left")
 
 
 def with_display_name(df: DataFrame, names: DataFrame, key: str = "station") -> DataFrame:
     """Add ``display_name``: the English name, or the key itself."""
-    lookup = names.select(key, F.col("en_name").alias("_en_name"))
+    lookup = _unique(names, key, "en_name").withColumnRenamed("en_name", "_en_name")
     return (
         df.join(lookup, key, "left")
         .withColumn("display_name", F.coalesce("_en_name", key))
@@ -54,7 +62,7 @@ def flag_entities(df: DataFrame, focus: DataFrame, key: str = "station") -> Data
 
 def check_hypotheses(labels: DataFrame, focus: DataFrame) -> DataFrame:
     """Found against expected archetype: as a whole text, and word by word."""
-    both = focus.select("station", "hypothesis").join(labels, "station")
+    both = _unique(focus, "station", "hypothesis").join(labels, "station")
     return both.select(
         "station", "cluster", "cluster_name", "hypothesis",
         contains_ignoring_case(F.col("cluster_name"), F.col("hypothesis")).alias("whole_match"),

@@ -144,9 +144,8 @@ def chart_n(index: DataFrame, region_labels: DataFrame) -> DataFrame:
     changes = with_display_name(price_changes(index), region_labels, "gu_code")
     rise = F.col("end_price") - F.col("start_price")
     order = Window.orderBy(rise, "gu_code")
-    percent = (F.col("end_price") / F.col("start_price") - 1) * 100
     return changes.select(
-        "gu_code", "display_name", "start_price", "end_price", percent.alias("change_pct"),
+        "gu_code", "display_name", "start_price", "end_price", "change_pct",
         F.row_number().over(order).alias("slope_order"),
     )
 
@@ -158,11 +157,17 @@ def price_region_labels(spark: SparkSession) -> DataFrame:
 def chart_o(long: DataFrame, labels: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Boardings by cluster and hour in stacking order, with the top of each stack.
 
-    Clusters outside the order are left out.
+    Clusters outside the order follow it by name. Windows run over one row per cluster, or
+    per cluster and hour.
     """
     names = fixed.STACK_ORDER if order is None else order
-    places = constant_table(long.sparkSession, ["cluster_name", "stack_order"],
+    listed = constant_table(long.sparkSession, ["cluster_name", "listed"],
                             [(name, place) for place, name in enumerate(names)])
+    others = Window.partitionBy(F.col("listed").isNull()).orderBy("cluster_name")
+    places = labels.select("cluster_name").distinct().join(listed, "cluster_name", "left").select(
+        "cluster_name",
+        F.coalesce("listed", F.row_number().over(others) - 1 + len(names)).alias("stack_order"),
+    )
     rows = cluster_hours(long, labels).join(places, "cluster_name")
     upto = Window.partitionBy("hour").orderBy("stack_order").rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("stack_top", F.sum("boardings").over(upto))

@@ -233,11 +233,10 @@ ORACLES: dict[str, str] = {
         SELECT month, total, CAST(s AS BIGINT) AS start_row, CAST(s + 999 AS BIGINT) AS end_row
         FROM (SELECT month, total, unnest(range(1, greatest(total, 1) + 1, 1000)) AS s FROM t)""",
     "page_completeness": """
-        WITH lines AS (SELECT l_orderkey, max(l_linenumber) AS total, count(*) AS landed FROM lineitem GROUP BY 1),
-        m AS (SELECT strftime(o_orderdate, '%Y%m') AS month, CAST(max(total) AS BIGINT) AS expected_rows,
-                     CAST(sum(landed) AS BIGINT) AS landed_rows
-              FROM orders JOIN lines ON o_orderkey = l_orderkey GROUP BY 1)
-        SELECT *, expected_rows = landed_rows AS complete FROM m""",
+        WITH lines AS (SELECT l_orderkey, max(l_linenumber) AS total, count(*) AS landed FROM lineitem GROUP BY 1)
+        SELECT o_orderkey, CAST(coalesce(total, 1) AS BIGINT) AS expected_rows,
+               CAST(coalesce(landed, 0) AS BIGINT) AS landed_rows, coalesce(total, 1) = coalesce(landed, 0) AS complete
+        FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey""",
     "union_tagged": """
         SELECT source, flag, priority, count(*) AS n_rows, max(order_key) AS max_key FROM (
             SELECT 'lineitem' AS source, l_returnflag AS flag, NULL AS priority, l_orderkey AS order_key FROM lineitem
@@ -378,7 +377,8 @@ ORACLES: dict[str, str] = {
             FROM daily GROUP BY station)
         SELECT station, round(wd, 6) AS weekday_mean, round(we, 6) AS weekend_mean,
                round(we / wd - 1, 6) AS change,
-               CASE WHEN we / wd - 1 > 0 THEN 'weekend-heavy' ELSE 'weekday-heavy' END AS direction
+               CASE WHEN we / wd - 1 > 0 THEN 'weekend-heavy' ELSE 'weekday-heavy' END AS direction,
+               printf('%+.4f%%', round(we / wd - 1, 6) * 100) AS change_text
         FROM m""",
     "distinct_entities": f"""
         WITH {BY_USER} SELECT count(DISTINCT station) AS n_stations, count(DISTINCT line) AS n_lines FROM taps""",
@@ -386,7 +386,7 @@ ORACLES: dict[str, str] = {
         WITH {SURFACE} SELECT round(max(value), 6) AS max_value, round(min(value), 6) AS min_value FROM surface""",
     "average_tie_rank": f"""
         WITH {BY_USER}, t AS (SELECT station, hour, sum(cnt) AS taps FROM taps GROUP BY ALL),
-        b AS (SELECT hour, count(*) AS busy_users FROM t WHERE taps >= 200 GROUP BY hour)
+        b AS (SELECT hour, count(*) AS busy_users FROM t GROUP BY hour)
         SELECT hour, busy_users,
                rank() OVER (ORDER BY busy_users DESC)
                    + (count(*) OVER (PARTITION BY busy_users) - 1) / CAST(2 AS DOUBLE) AS rank_down,
@@ -492,6 +492,7 @@ ORACLES: dict[str, str] = {
         SELECT station, round(wd, 6) AS weekday_mean, round(we, 6) AS weekend_mean,
                round(we / wd - 1, 6) AS change,
                CASE WHEN we / wd - 1 > 0 THEN 'weekend-heavy' ELSE 'weekday-heavy' END AS direction,
+               printf('%+.4f%%', round(we / wd - 1, 6) * 100) AS change_text,
                en_name AS display_name,
                CAST(row_number() OVER (ORDER BY we / wd, station) AS INTEGER) AS bar_order
         FROM m""",
@@ -545,12 +546,17 @@ ORACLES: dict[str, str] = {
         WITH {PRICE_INDEX}, {CHANGES}
         SELECT gu_code, coalesce(en_name, gu_code) AS display_name, round(first_value / 1e6, 8) AS start_price,
                round(last_value / 1e6, 8) AS end_price,
-               round((last_value / first_value - 1) * 100, 6) AS change_pct,
+               round(CASE WHEN n_points >= 2 AND first_value <> 0 THEN (last_value / first_value - 1) * 100 END, 6)
+                   AS change_pct,
                CAST(row_number() OVER (ORDER BY last_value / 1e6 - first_value / 1e6, gu_code) AS INTEGER) AS slope_order
         FROM ends LEFT JOIN labelled USING (gu_code)""",
     "chart_o": f"""
-        WITH {BY_USER}, {LABELS}, o(cluster_name, stack_order) AS (VALUES
-            {", ".join(f"('{name}', {place})" for place, name in enumerate(fixed.STACK_ORDER))}),
+        WITH {BY_USER}, {LABELS}, listed(cluster_name, place) AS (VALUES
+            ('Residential Commuter', 0), ('Transit Interchange', 1), ('Nightlife District', 2),
+            ('Business District', 3), ('Business District 2', 4)),
+        o AS (SELECT cluster_name, CAST(coalesce(place, 4 + row_number() OVER (
+                  PARTITION BY place IS NULL ORDER BY cluster_name)) AS INTEGER) AS stack_order
+              FROM (SELECT DISTINCT cluster_name FROM labels) LEFT JOIN listed USING (cluster_name)),
         b AS (SELECT cluster_name, hour, sum(cnt) AS boardings FROM taps JOIN labels USING (station)
               WHERE direction = 'board' GROUP BY ALL),
         d AS (SELECT cluster_name, stack_order, hours.hour, CAST(coalesce(boardings, 0) AS BIGINT) AS boardings

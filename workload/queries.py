@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tapflow import dims, fixed
 from tapflow.functions.arrays import number_text
 from tapflow.functions.numbers import millions
-from tapflow.functions.text import canonical_name, column_label
+from tapflow.functions.text import canonical_name, column_label, signed_percent
 from tapflow.operators import aggregates, clusters, distributions, features, lookup, ordering
 from tapflow.operators import prices, reshape, scaling, silhouette
 from tapflow.plans import chart_tables as charts, snapshots
 from tapflow.sources import pages, tables
-from tapflow.staging import checkpointed, shared_folder
+from tapflow.staging import checkpointed, new_folder
 from workload import inputs
 from workload.inputs import FOCUS, table
 
@@ -33,6 +32,11 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) + F.lit(0.0) for name in names})
 
 
+def _with_text(df: DataFrame) -> DataFrame:
+    """The change's text made of the rounded number, so that the last digit can't differ."""
+    return df.withColumn("change_text", signed_percent(F.round("change", 6), 4))
+
+
 # Sources and dimensions
 
 
@@ -46,15 +50,19 @@ def page_ranges(spark, sf):
 
 @query
 def page_completeness(spark, sf):
-    """Orders as pages: promised line numbers against landed lines, by order month."""
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("month")
-    )
+    """Orders as pages: the largest line number is promised, the lines have landed.
+
+    An order without lines is promised one, so it is incomplete and not left out.
+    """
+    orders = table(spark, sf, "orders").select("o_orderkey")
     lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_linenumber").cast("bigint").alias("total"), F.count("*").alias("landed")
     )
-    landed = orders.join(lines, orders.o_orderkey == lines.l_orderkey)
-    return pages.page_completeness(landed, "month", "total", "landed")
+    landed = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+        "o_orderkey", F.coalesce("total", F.lit(1).cast("bigint")).alias("total"),
+        F.coalesce("landed", F.lit(0).cast("bigint")).alias("landed"),
+    )
+    return pages.page_completeness(landed, "o_orderkey", "total", "landed")
 
 
 @query
@@ -79,7 +87,7 @@ def union_tagged(spark, sf):
 @query
 def parquet_round_trip(spark, sf):
     """Hour totals of a written and re-read daily partition table."""
-    path = f"{shared_folder(spark)}/tapflow-round-trip-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    path = new_folder(spark, "tapflow-round-trip")
     long = inputs.taps_by_type(spark, sf)
     tables.write_stage(long, path, partition_by=["year_month"], sort_by=["station", "hour"])
     return aggregates.hour_totals(tables.read_stage(spark, path, long.schema))
@@ -329,7 +337,7 @@ def annual_totals(spark, sf):
 
 @query
 def weekend_balance(spark, sf):
-    balance = aggregates.weekend_balance(inputs.daily(spark, sf)).drop("change_text")
+    balance = _with_text(aggregates.weekend_balance(inputs.daily(spark, sf)))
     return rounded(balance, 6, "weekday_mean", "weekend_mean", "change")
 
 
@@ -350,8 +358,8 @@ def extrema(spark, sf):
 
 @query
 def average_tie_rank(spark, sf):
-    """Average-tie ranks, both ways, of the 24 hours by their number of busy users."""
-    busy = aggregates.hour_totals(inputs.taps_by_user(spark, sf)).where("taps >= 200")
+    """Average-tie ranks, both ways, of the 24 hours by their number of users."""
+    busy = aggregates.hour_totals(inputs.taps_by_user(spark, sf))
     by_hour = busy.groupBy("hour").agg(F.count("*").alias("busy_users"))
     return by_hour.select(
         "hour", "busy_users", ordering.average_rank("busy_users").alias("rank_down"),
@@ -412,20 +420,16 @@ def station_features(spark, sf):
 
 @query
 def station_features_with_id(spark, sf):
-    """The flagship with carried ids and the long labelled form."""
-    wide = lookup.assign_station_id(inputs.features_by_user(spark, sf))
-    cells = features.feature_labels(wide).join(wide.select("station", "station_id"), "station")
+    """The flagship on a long table with ids, which it carries, in the long labelled form."""
+    long = lookup.assign_station_id(inputs.taps_by_user(spark, sf))
+    cells = features.feature_labels(features.station_features(long))
     return rounded(cells.select("station", "station_id", "feature_order", "label", "value"), 6, "value")
 
 
 @query
 def feature_rejects(spark, sf):
     """Users by whether all six features are defined."""
-    complete, rejects = features.complete_features(inputs.features_by_user(spark, sf))
-    parts = complete.select("station", F.lit(True).alias("complete")).union(
-        rejects.select("station", F.lit(False).alias("complete"))
-    )
-    return parts
+    return inputs.features_by_user(spark, sf).select("station", features.is_complete().alias("complete"))
 
 
 @query
@@ -562,7 +566,7 @@ def chart_c(spark, sf):
 
 @query
 def chart_d(spark, sf):
-    bars = charts.chart_d(inputs.daily(spark, sf), FOCUS).drop("change_text")
+    bars = _with_text(charts.chart_d(inputs.daily(spark, sf), FOCUS))
     return rounded(bars, 6, "weekday_mean", "weekend_mean", "change")
 
 
