@@ -44,7 +44,7 @@ def ks_asymptotic_p(distance: Column, n_a: Column, n_b: Column) -> Column:
     From λ = 1 on 2 Σ (−1)^(j−1) exp(−2 j² λ²); below, where that series converges too
     slowly, the same function as 1 − √(2π)/λ · Σ exp(−(2j−1)² π² / (8 λ²)).
     """
-    squared = distance * distance * (n_a * n_b / (n_a + n_b))
+    squared = distance * distance * (n_a.cast("double") * n_b / (n_a + n_b))
     turns = F.sequence(F.lit(1), F.lit(20))
     series = F.aggregate(
         turns, F.lit(0.0),
