@@ -404,20 +404,31 @@ def _context_replies(window: int):
             body = body.reshape(len(keys), -1)
             places = np.concatenate([unpacked_places(x) for x in mine.column("places").to_pylist()])
             chunk = np.repeat(np.arange(len(sizes)), sizes)
+            found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for group in _blocks(keys):
                 entry, shift = repeated_windows(keys[group], body[group], window)
-                entry = group[entry]
-                for row in np.unique(chunk[entry]):
-                    hits = chunk[entry] == row
-                    starts = np.unique(places[entry[hits]] - shift[hits])
-                    out.append(pa.table({
-                        "chunk": [mine.column("chunk")[int(row)].as_py()], "kind": [START], "places": [packed_places(starts)],
-                    }, schema=_REPLY))
+                found[0].append(chunk[group[entry]])
+                found[1].append(places[group[entry]] - shift)
+            out.append(_starts(mine.column("chunk").to_numpy(), *map(np.concatenate, found)))
         return pa.concat_tables(out)
 
     return answer
 
 
+def _starts(names: np.ndarray, row: np.ndarray, places: np.ndarray) -> pa.Table:
+    """Window starts of each packet, sorted, as replies to its chunk."""
+    order = np.lexsort((places, row))
+    row, places = row[order], places[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (places[1:] != places[:-1])
+    row, places = row[fresh], places[fresh]
+    rows, edges = np.unique(row, return_index=True)
+    return pa.table({
+        "chunk": names[rows], "kind": np.full(len(rows), START, np.int32),
+        "places": [packed_places(x) for x in np.split(places, edges[1:])] if len(rows) else [],
+    }, schema=_REPLY)
+
+
 def _blocks(keys: np.ndarray, most: int = LARGE_BUCKET):
     """Entries in their order, cut between keys into blocks of about ``most``."""
     order = np.argsort(keys, kind="stable")
