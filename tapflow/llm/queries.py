@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapflow.llm import block_dedup, byte_conv, hilbert, mixing, perspectives, rules, suffix_dedup, tiling, warc
 from tapflow.llm.near_dups import near_duplicates
-from tapflow.llm.store import new_folder
+from tapflow.staging import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 

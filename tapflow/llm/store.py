@@ -2,20 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.staging import shared_folder
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, removed when the session ends."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
+from tapflow.staging import new_folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
