@@ -15,19 +15,22 @@ from tapflow.operators.features import complete_features
 from tapflow.operators.kmeans import best_runs, with_assignments
 from tapflow.operators.ordering import average_rank, dedupe_names
 from tapflow.operators.scaling import StandardScaler, fit_standard
-from tapflow.operators.silhouette import mean_silhouette
+from tapflow.operators.silhouette import centroid_silhouette, mean_silhouette
 from tapflow.staging import checkpointed
 
 
+SCORES = ("exact", "centroid")
+
+
 @dataclass(frozen=True)
 class Clustering:
     """Results of the sweep; every table has at most one row per station."""
 
     features: DataFrame       # complete feature rows
     rejects: DataFrame        # rows with an undefined feature
-    scaled: DataFrame         # station and standardised point
+    scaled: DataFrame         # station, its code, and standardised point
     scaler: StandardScaler
-    sweep: DataFrame          # k, wcss, silhouette
+    sweep: DataFrame          # k, wcss, silhouette, passes, converged
     k: int
     centroids: DataFrame      # cluster and six features in original units
     centroids_scaled: DataFrame
@@ -80,38 +83,50 @@ def _centroid_table(spark: SparkSession, rows: list[np.ndarray]) -> DataFrame:
 
 
 def choose_k_and_cluster(features: DataFrame, k_range: tuple[int, int] = (2, 8), starts: int = 10,
-                         seed: int = 42) -> Clustering:
+                         seed: int = 42, score: str = "exact", max_passes: int = 300) -> Clustering:
     """Standardise, sweep k (inclusive), keep the k of the best silhouette, name the clusters.
 
+    ``score`` names the silhouette: ``exact`` compares all points with each other and is
+    quadratic in the number of stations; ``centroid`` compares points with the centres and
+    is linear. A chosen k whose run did not settle within ``max_passes`` stops the job.
+
     Features are one row per station: they are written to the checkpoint folder, so the
     passes and a lost executor never go back to the facts. Clusters are numbered by
     falling size, then by centroid, so that numbers do not depend on the draw.
     """
+    if score not in SCORES:
+        raise ValueError(f"score must be one of {SCORES}")
     spark = features.sparkSession
     features = checkpointed(features)
     complete, rejects = complete_features(features)
     scaler = fit_standard(complete, fixed.FEATURES)
     scaled = checkpointed(
-        scaler.transform(complete).select("station", F.array(*fixed.FEATURES).alias("point"))
+        scaler.transform(complete).select(
+            "station", F.xxhash64("station").alias("code"), F.array(*fixed.FEATURES).alias("point")
+        )
     )
     ks = list(range(k_range[0], k_range[1] + 1))
-    points = scaled.select("station", F.xxhash64("station").alias("code"), "point")
+    points = scaled.select("code", "point")
     if points.select("point").distinct().limit(ks[-1] + 1).count() <= ks[-1]:
         raise ValueError(f"fewer distinct feature rows than needed for k up to {ks[-1]}")
-    best = best_runs(points, len(fixed.FEATURES), ks, starts, seed)
+    best = best_runs(points, len(fixed.FEATURES), ks, starts, seed, max_passes)
 
     names_of = {k: f"k{k}" for k in ks}
     assigned = checkpointed(
         with_assignments(scaled, {names_of[k]: best[k].centers for k in ks})
     )
-    scores = {
-        row["assignment"]: row["silhouette"]
-        for row in mean_silhouette(assigned, "station", "point", list(names_of.values())).collect()
-    }
+    if score == "exact":
+        means = mean_silhouette(assigned, "station", "point", list(names_of.values()))
+    else:
+        means = centroid_silhouette(assigned, "point", {names_of[k]: dict(enumerate(best[k].centers.tolist())) for k in ks})
+    scores = {row["assignment"]: row["silhouette"] for row in means.collect()}  # one row per k
     sweep = spark.createDataFrame(
-        [(k, float(best[k].cost), scores[names_of[k]]) for k in ks], "k int, wcss double, silhouette double"
+        [(k, float(best[k].cost), scores[names_of[k]], best[k].passes, best[k].converged) for k in ks],
+        "k int, wcss double, silhouette double, passes int, converged boolean",
     )
     chosen = best[best_k(sweep).first()["k"]]
+    if not chosen.converged:
+        raise RuntimeError(f"k-means for k = {chosen.k} did not settle in {max_passes} passes")
 
     order = sorted(range(chosen.k), key=lambda i: (-chosen.sizes[i], tuple(chosen.centers[i])))
     renumbered = constant_table(spark, ["found", "cluster"], [(old, new) for new, old in enumerate(order)])

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -23,13 +24,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass
 class Run:
-    """One start for one k: its centres, cluster sizes and cost."""
+    """One start for one k: its centres, cluster sizes and cost, and how it came to rest."""
 
     k: int
     start: int
     centers: np.ndarray
     sizes: np.ndarray | None = None
     cost: float = float("inf")
+    passes: int = 0
+    converged: bool = False
 
 
 def _squares(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -48,32 +51,40 @@ def _uniform(keys: np.ndarray, salt: int) -> np.ndarray:
     return ((mixed >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
 
 
-def _matrix(frame: pd.DataFrame) -> np.ndarray:
-    return np.stack(frame["point"].to_numpy())
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    """The points of a batch, one a row, as its values lie."""
+    values = batch.column("point").flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(batch.num_rows, -1)
 
 
 def _draw(points: DataFrame, runs: list[Run], seed: int, turn: int) -> None:
     """Add one centre to each run: a point drawn with the odds of its squared distance.
 
     Each point gets an exponential time with that rate and the earliest wins, so a draw
-    is a minimum, and the same points give the same draw wherever they lie.
+    is a minimum, and the same points give the same draw wherever they lie. A task
+    returns its earliest point of each run.
     """
     starts = [(index, seed + run.start, run.centers) for index, run in enumerate(runs)]
 
-    def earliest(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if not len(frame):
+    def earliest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[float, list[float]]] = {}
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            own, keys, found = _matrix(frame), frame["code"].to_numpy(), []
+            own, keys = _matrix(batch), batch.column("code").to_numpy()
             for index, salt, centers in starts:
                 weight = _squares(own, centers).min(axis=1) if len(centers) else np.ones(len(own))
                 with np.errstate(divide="ignore"):
                     times = -np.log(_uniform(keys, salt * 1009 + turn)) / weight
                 place = int(np.argmin(times))
-                found.append((index, times[place], own[place]))
-            yield pd.DataFrame(found, columns=["run", "time", "point"])
-
-    drawn = points.select("code", "point").mapInPandas(earliest, "run int, time double, point array<double>")
+                drawn = (float(times[place]), own[place].tolist())
+                found[index] = min(found.get(index, drawn), drawn)
+        if found:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(found), pa.int32()), pa.array([x[0] for x in found.values()]), pa.array([x[1] for x in found.values()]),
+            ], ["run", "time", "point"])
+
+    drawn = points.select("code", "point").mapInArrow(earliest, "run int, time double, point array<double>")
     first = drawn.groupBy("run").agg(F.min_by("point", F.struct("time", "point")).alias("point"))
     for row in first.collect():  # one row per run
         run = runs[row["run"]]
@@ -81,31 +92,34 @@ def _draw(points: DataFrame, runs: list[Run], seed: int, turn: int) -> None:
 
 
 def _sums(points: DataFrame, runs: list[Run]) -> pd.DataFrame:
-    """Size, cost and coordinate sums of each cluster of each run."""
+    """Size, cost and coordinate sums of each cluster of each run, added up task by task."""
     width = runs[0].centers.shape[1]
-    stacks = [(index, run.centers) for index, run in enumerate(runs)]
+    stacks = [run.centers for run in runs]
+    rows = [(index, cluster) for index, centers in enumerate(stacks) for cluster in range(len(centers))]
     axes = [f"x{axis}" for axis in range(width)]
-    columns = ["run", "cluster", "n", "cost", *axes]
 
-    def partials(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if not len(frame):
+    def partials(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(rows), 2 + width))
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            own, parts = _matrix(frame), []
-            for index, centers in stacks:
+            own, at = _matrix(batch), 0
+            for centers in stacks:
                 squares = _squares(own, centers)
                 nearest = squares.argmin(axis=1)
-                n = np.bincount(nearest, minlength=len(centers))
-                cost = np.bincount(nearest, squares[np.arange(len(own)), nearest], len(centers))
-                totals = [np.bincount(nearest, own[:, axis], len(centers)) for axis in range(width)]
-                parts.append(np.column_stack(
-                    [np.full(len(centers), index), np.arange(len(centers)), n, cost, *totals]
-                ))
-            yield pd.DataFrame(np.vstack(parts), columns=columns)
-
-    schema = "run double, cluster double, n double, cost double, " + ", ".join(f"{a} double" for a in axes)
-    added = points.select("point").mapInPandas(partials, schema).groupBy("run", "cluster").agg(
-        *[F.sum(name).alias(name) for name in columns[2:]]
+                part = total[at: at + len(centers)]
+                part[:, 0] += np.bincount(nearest, minlength=len(centers))
+                part[:, 1] += np.bincount(nearest, squares[np.arange(len(own)), nearest], len(centers))
+                for axis in range(width):
+                    part[:, 2 + axis] += np.bincount(nearest, own[:, axis], len(centers))
+                at += len(centers)
+        if total[:, 0].any():
+            run, cluster = np.array(rows, dtype=np.int32).T
+            yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(cluster), *map(pa.array, total.T.copy())], ["run", "cluster", "n", "cost", *axes])
+
+    schema = "run int, cluster int, n double, cost double, " + ", ".join(f"{a} double" for a in axes)
+    added = points.select("point").mapInArrow(partials, schema).groupBy("run", "cluster").agg(
+        *[F.sum(name).alias(name) for name in ("n", "cost", *axes)]
     )
     return added.toPandas()  # one row per run and cluster
 
@@ -119,33 +133,49 @@ def _spread(sums: pd.DataFrame, run: Run, index: int) -> tuple[np.ndarray, np.nd
     return n, centers, float(rows["cost"].sum())
 
 
-def best_runs(points: DataFrame, width: int, ks: list[int], starts: int, seed: int,
-              max_passes: int = 300, tolerance: float = 1e-4) -> dict[int, Run]:
-    """The run of least cost for each k.
-
-    ``points`` has a bigint ``code`` (a hash of the entity) and an array ``point``. Runs
-    stop when their centres move by at most ``tolerance`` (sum of squares); an emptied
-    cluster keeps its centre.
-    """
-    runs = [Run(k, start, np.empty((0, width))) for k in ks for start in range(starts)]
-    for turn in range(max(ks)):
-        _draw(points, [run for run in runs if len(run.centers) < run.k], seed, turn)
+def _settle(points: DataFrame, runs: list[Run], max_passes: int, tolerance: float) -> None:
+    """Move the centres of all runs until each moves by at most ``tolerance`` (sum of squares)."""
     moving = list(runs)
     for _ in range(max_passes):
         sums = _sums(points, moving)
         still = []
         for index, run in enumerate(moving):
             _, centers, _ = _spread(sums, run, index)
-            if ((centers - run.centers) ** 2).sum() > tolerance:
-                still.append(run)
+            run.passes += 1
+            run.converged = bool(((centers - run.centers) ** 2).sum() <= tolerance)
             run.centers = centers
+            if not run.converged:
+                still.append(run)
         moving = still
         if not moving:
             break
     sums = _sums(points, runs)
-    best: dict[int, Run] = {}
     for index, run in enumerate(runs):
         run.sizes, _, run.cost = _spread(sums, run, index)
+
+
+def refined(points: DataFrame, centers: np.ndarray, max_passes: int = 300, tolerance: float = 1e-4) -> Run:
+    """k-means from stated centres; ``converged`` tells whether it settled within ``max_passes``."""
+    run = Run(len(centers), 0, np.asarray(centers, dtype=float))
+    _settle(points, [run], max_passes, tolerance)
+    return run
+
+
+def best_runs(points: DataFrame, width: int, ks: list[int], starts: int, seed: int,
+              max_passes: int = 300, tolerance: float = 1e-4) -> dict[int, Run]:
+    """The run of least cost for each k.
+
+    ``points`` has a bigint ``code`` (a hash of the entity) and an array ``point``. Runs
+    stop when their centres move by at most ``tolerance`` (sum of squares) or after
+    ``max_passes``, which ``passes`` and ``converged`` of a run tell; an emptied cluster
+    keeps its centre.
+    """
+    runs = [Run(k, start, np.empty((0, width))) for k in ks for start in range(starts)]
+    for turn in range(max(ks)):
+        _draw(points, [run for run in runs if len(run.centers) < run.k], seed, turn)
+    _settle(points, runs, max_passes, tolerance)
+    best: dict[int, Run] = {}
+    for run in runs:
         if run.k not in best or run.cost < best[run.k].cost:
             best[run.k] = run
     return best
@@ -155,12 +185,11 @@ def with_assignments(points: DataFrame, runs: dict[str, np.ndarray]) -> DataFram
     """Add a column per run with the number of the nearest centre."""
     schema = T.StructType([*points.schema.fields, *[T.StructField(name, T.IntegerType()) for name in runs]])
 
-    def assign(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                own = _matrix(frame)
-                yield frame.assign(**{
-                    name: _squares(own, centers).argmin(axis=1).astype("int32") for name, centers in runs.items()
-                })
+    def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                own = _matrix(batch)
+                numbers = [pa.array(_squares(own, centers).argmin(axis=1).astype(np.int32)) for centers in runs.values()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *numbers], [*batch.schema.names, *runs])
 
-    return points.mapInPandas(assign, schema)
+    return points.mapInArrow(assign, schema)

@@ -8,7 +8,7 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 TILE_ROWS = 1024
 
@@ -39,72 +39,81 @@ def silhouette_points(points: DataFrame, key: str, vector: str, labels: list[str
 
     Points are hashed into tiles of about 1024 rows and each pair of tiles meets in one
     task, which adds up distances per cluster; no pair of points leaves the task. All
-    assignments share the distances. Rows moved grow with n²/1024 and no group grows
+    assignments share the distances. Sums come back as rows of (key, assignment, cluster),
+    so any number of clusters will do. Rows moved grow with n²/1024 and no group grows
     with the data or with a cluster's size.
     """
-    named = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.col(label).cast("string").alias("code")) for label in labels
-    ])
-    counts = points.select(F.inline(named)).groupBy("label", "code").agg(F.count("*").alias("n"))
-    # one row per assignment and cluster
-    sizes = {(row["label"], row["code"]): row["n"] for row in counts.orderBy("label", "code").collect()}
-    codes = list(sizes)
-    n = sum(size for (label, _), size in sizes.items() if label == labels[0])
+    n = points.count()
     tiles = max(1, math.ceil(n / TILE_ROWS))
-
     every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
     rows = points.select(
         F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"),
         *[F.col(label).cast("string").alias(label) for label in labels],
     ).withColumn("own", F.pmod(F.xxhash64("key"), F.lit(tiles)).cast("int"))
-    left = rows.select("key", "vector", *labels, F.col("own").alias("row_tile"), every.alias("column_tile"))
+    left = rows.select("key", "vector", F.col("own").alias("row_tile"), every.alias("column_tile"))
     right = rows.select("vector", *labels, F.col("own").alias("column_tile"), every.alias("row_tile"))
-
-    sums = [f"d{i}" for i in range(len(codes))]
-    key_type = rows.schema["key"].dataType
-    schema = T.StructType(
-        [T.StructField("key", key_type)]
-        + [T.StructField(label, T.StringType()) for label in labels]
-        + [T.StructField(name, T.DoubleType()) for name in sums]
-    )
+    schema = T.StructType([
+        T.StructField("key", rows.schema["key"].dataType), T.StructField("assignment", T.StringType()),
+        T.StructField("code", T.StringType()), T.StructField("total", T.DoubleType()),
+    ])
 
     def meet(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        out = ours[["key", *labels]].copy()
-        if not len(ours) or not len(theirs):
-            return out.assign(**{name: 0.0 for name in sums})
-        gaps = _distances(np.stack(ours["vector"]), np.stack(theirs["vector"]))
-        member = np.stack(
-            [(theirs[label] == code).to_numpy(dtype=float) for label, code in codes], axis=1
-        )
-        return pd.concat(
-            [out.reset_index(drop=True), pd.DataFrame(gaps @ member, columns=sums)], axis=1
-        )
+        parts = []
+        if len(ours) and len(theirs):
+            gaps = _distances(np.stack(ours["vector"]), np.stack(theirs["vector"]))
+            for label in labels:
+                codes, number = np.unique(theirs[label].to_numpy(dtype=object), return_inverse=True)
+                sums = gaps @ np.eye(len(codes))[number]
+                parts.append(pd.DataFrame({
+                    "key": np.repeat(ours["key"].to_numpy(), len(codes)), "assignment": label,
+                    "code": np.tile(codes, len(ours)), "total": sums.ravel(),
+                }))
+        return pd.concat(parts) if parts else pd.DataFrame(columns=["key", "assignment", "code", "total"])
 
     tile = ["row_tile", "column_tile"]
     met = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(meet, schema)
-    added = met.groupBy("key", *labels).agg(*[F.sum(name).alias(name) for name in sums])
+    added = met.groupBy("key", "assignment", "code").agg(F.sum("total").alias("total"))
+    named = F.array(*[F.struct(F.lit(label).alias("assignment"), F.col(label).alias("cluster")) for label in labels])
+    own = rows.select("key", F.inline(named))
+    sizes = own.groupBy("assignment", F.col("cluster").alias("code")).agg(F.count("*").alias("n"))
+    mine = F.col("code") == F.col("cluster")
+    scored = (
+        added.join(sizes, ["assignment", "code"]).join(own, ["key", "assignment"])
+        .groupBy("key", "assignment", "cluster").agg(
+            F.max(F.when(mine, F.try_divide("total", F.col("n") - 1))).alias("inside"),
+            F.max(F.when(mine, F.col("n"))).alias("size"),
+            F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("outside"),
+        )
+    )
+    return scored.select("key", "assignment", "cluster", _score(F.col("inside"), F.col("outside"), F.col("size")).alias("silhouette"))
+
+
+def _score(inside: Column, outside: Column, size: Column) -> Column:
+    """(b - a) / max(a, b); 0 in a cluster of one or where both are 0, NULL without another cluster."""
+    gap = F.coalesce(F.try_divide(outside - inside, F.greatest(inside, outside)), F.lit(0.0))
+    return F.when(outside.isNotNull(), F.when(size == 1, 0.0).otherwise(gap))
+
+
+def centroid_silhouette(points: DataFrame, vector: str, centers: dict[str, dict]) -> DataFrame:
+    """Mean silhouette by distances to centres: assignment, silhouette, n_points.
+
+    ``centers`` has, for each assignment column, the centre of each of its clusters. One
+    pass over the points, linear in them; a and b of a point are its distances to its own
+    and to the nearest other centre.
+    """
+    def distance(center: list[float]) -> Column:
+        apart = F.zip_with(F.col(vector), F.array(*map(F.lit, center)), lambda x, y: (x - y) * (x - y))
+        return F.sqrt(F.aggregate(apart, F.lit(0.0), lambda total, x: total + x))
 
     scores = []
-    for label in labels:
-        mine, others, singleton = F.lit(None).cast("double"), [], F.lit(False)
-        for name, (owner, code) in zip(sums, codes):
-            if owner != label:
-                continue
-            size, is_mine = sizes[(label, code)], F.col(label) == F.lit(code)
-            if size > 1:
-                mine = F.when(is_mine, F.col(name) / (size - 1)).otherwise(mine)
-            else:
-                singleton = singleton | is_mine
-            others.append(F.when(~is_mine, F.col(name) / size))
-        nearest = F.array_min(F.array(*others))
-        score = F.when(singleton, 0.0).otherwise(
-            F.coalesce(F.try_divide(nearest - mine, F.greatest(mine, nearest)), F.lit(0.0))
-        )
-        scores.append(F.struct(
-            F.lit(label).alias("assignment"), F.col(label).alias("cluster"),
-            F.when(F.lit(len(others) > 1), score).alias("silhouette"),
-        ))
-    return added.select("key", F.inline(F.array(*scores)))
+    for label, places in centers.items():
+        own = F.lit(None).cast("double")
+        for code, center in places.items():
+            own = F.when(F.col(label) == F.lit(code), distance(center)).otherwise(own)
+        others = F.array(*[F.when(F.col(label) != F.lit(code), distance(center)) for code, center in places.items()])
+        scores.append(F.struct(F.lit(label).alias("assignment"), _score(own, F.array_min(others), F.lit(2)).alias("score")))
+    rows = points.select(F.inline(F.array(*scores)))
+    return rows.groupBy("assignment").agg(F.avg("score").alias("silhouette"), F.count("*").alias("n_points"))
 
 
 def mean_silhouette(points: DataFrame, key: str, vector: str, labels: list[str]) -> DataFrame:

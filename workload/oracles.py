@@ -227,6 +227,33 @@ cells AS (
     SELECT CAST(h.range AS INTEGER) AS hour, d.direction
     FROM range(24) h CROSS JOIN (VALUES ('alight'), ('board')) d(direction))"""
 
+def _kmeans(k: int, passes: int) -> str:
+    """Passes of k-means from the points of the first stations, one pair of tables a pass."""
+    names = fixed.FEATURES
+    scaled = ", ".join(
+        f"({n} - (SELECT avg({n}) FROM complete)) / (SELECT stddev_pop({n}) FROM complete) AS {n}" for n in names
+    )
+    parts = [f"p AS (SELECT station, {scaled} FROM complete)",
+             f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY station) - 1 AS INTEGER) AS cluster, {', '.join(names)}"
+             f" FROM (SELECT * FROM p ORDER BY station LIMIT {k}))"]
+    apart = " + ".join(f"(p.{n} - c.{n}) ** 2" for n in names)
+    for turn in range(passes + 1):
+        parts.append(
+            f"a{turn} AS (SELECT p.*, c.cluster, {apart} AS gap FROM p CROSS JOIN c{turn} c"
+            f" QUALIFY row_number() OVER (PARTITION BY station ORDER BY {apart}, c.cluster) = 1)"
+        )
+        if turn < passes:
+            means = ", ".join(f"avg({n}) AS {n}" for n in names)
+            parts.append(f"c{turn + 1} AS (SELECT cluster, {means} FROM a{turn} GROUP BY cluster)")
+    back = ", ".join(
+        f"round({n} * (SELECT stddev_pop({n}) FROM complete) + (SELECT avg({n}) FROM complete), 6) + 0.0 AS {n}"
+        for n in names
+    )
+    return f"""WITH {BY_USER}, {COMPLETE}, {", ".join(parts)}
+        SELECT cluster, (SELECT count(*) FROM a{passes} WHERE a{passes}.cluster = c{passes}.cluster) AS n_stations,
+               round((SELECT sum(gap) FROM a{passes}), 6) AS wcss, {back} FROM c{passes}"""
+
+
 ORACLES: dict[str, str] = {
     "page_ranges": """
         WITH t AS (SELECT strftime(l_shipdate, '%Y%m') AS month, count(*) AS total FROM lineitem GROUP BY 1)
@@ -465,6 +492,42 @@ ORACLES: dict[str, str] = {
         SELECT CAST(own AS VARCHAR) AS cluster, count(*) AS n_points,
                round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) + 0.0 AS silhouette
         FROM ab GROUP BY own""",
+    "centroid_silhouette_given": """
+        WITH p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[64]) AS v FROM embeddings),
+        cells AS (SELECT label, unnest(range(1, 65)) AS axis, unnest(v) AS x FROM p),
+        m AS (SELECT label, axis, avg(x) AS x FROM cells GROUP BY ALL),
+        c AS (SELECT label, CAST(list(x ORDER BY axis) AS DOUBLE[64]) AS v FROM m GROUP BY label),
+        d AS (SELECT vec_id, p.label = c.label AS own, array_distance(p.v, c.v) AS gap FROM p CROSS JOIN c),
+        ab AS (SELECT vec_id, max(gap) FILTER (WHERE own) AS a, min(gap) FILTER (WHERE NOT own) AS b
+               FROM d GROUP BY vec_id)
+        SELECT 'label' AS assignment, round(avg((b - a) / greatest(a, b)), 6) + 0.0 AS silhouette, count(*) AS n_points
+        FROM ab""",
+    "kmeans_from_given": _kmeans(4, 3),
+    "best_k_given": """
+        SELECT k FROM (SELECT CAST(o_custkey % 7 + 2 AS INTEGER) AS k, round(avg(CAST(o_totalprice AS DOUBLE)), -3) AS score
+                       FROM orders GROUP BY 1)
+        ORDER BY score DESC, k LIMIT 1""",
+    "inverse_scaled": f"""
+        WITH {BY_USER}, {COMPLETE}, given AS (
+            SELECT station, CAST(floor(arg_max(hour, taps * 100 - hour) / 5) AS INTEGER) AS cluster
+            FROM totals GROUP BY station)
+        SELECT cluster, {", ".join(f"round(avg({n}), 6) + 0.0 AS {n}" for n in fixed.FEATURES)}
+        FROM complete JOIN given USING (station) GROUP BY cluster""",
+    "scaler_reuse": f"""
+        WITH {BY_USER}, {COMPLETE}, even AS (SELECT * FROM complete WHERE CAST(station AS BIGINT) % 2 = 0)
+        SELECT station, {", ".join(
+            f"round(({n} - (SELECT avg({n}) FROM even)) / (SELECT stddev_pop({n}) FROM even), 6) + 0.0 AS {n}"
+            for n in fixed.FEATURES)}
+        FROM complete WHERE CAST(station AS BIGINT) % 2 = 1""",
+    "kmeans_facts": """
+        SELECT fact, true AS holds FROM (VALUES ('every label is the nearest centre'),
+            ('every centre is the mean of its members'), ('every complete station has a label'),
+            ('clusters are numbered by falling size'), ('cost falls with k'),
+            ('the chosen k has the largest silhouette'), ('the chosen run settled')) f(fact)""",
+    "projection_facts": """
+        SELECT fact, true AS holds FROM (VALUES ('every station has a place'), ('the axes are uncorrelated'),
+            ('the first axis varies most'), ('the plane varies no more than the table'),
+            ('the first axis takes its share')) f(fact)""",
     "archetype_given": f"WITH {BY_USER}, {NAMES} SELECT cluster, cluster_name FROM names",
     "chart_a": f"""
         WITH {SURFACE}, {FOCUS} SELECT station, weekday, hour, round(value, 6) AS value, en_name AS display_name,

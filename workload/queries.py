@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tapflow import dims, fixed
 from tapflow.functions.arrays import number_text
 from tapflow.functions.numbers import millions
 from tapflow.functions.text import canonical_name, column_label, signed_percent
-from tapflow.operators import aggregates, clusters, distributions, features, lookup, ordering
+from tapflow.operators import aggregates, clusters, distributions, features, kmeans, lookup, ordering
 from tapflow.operators import prices, reshape, scaling, silhouette
 from tapflow.plans import chart_tables as charts, snapshots
 from tapflow.sources import pages, tables
@@ -513,6 +514,115 @@ def silhouette_given(spark, sf):
     return rounded(by_cluster, 6, "silhouette")
 
 
+@query
+def centroid_silhouette_given(spark, sf):
+    """Linear silhouette of the given labels: distances to the labels' mean vectors."""
+    points = table(spark, sf, "embeddings").select("label", F.col("embedding").cast("array<double>").alias("point"))
+    cells = points.select("label", F.posexplode("point").alias("axis", "x"))
+    means = cells.groupBy("label", "axis").agg(F.avg("x").alias("x")).groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("axis", "x"))), lambda cell: cell["x"]).alias("center")
+    )
+    centers = {row["label"]: row["center"] for row in means.collect()}  # one row per label
+    return rounded(silhouette.centroid_silhouette(points, "point", {"label": centers}), 6, "silhouette")
+
+
+def _scaled_points(spark, sf):
+    """Complete features, their scaler, and points with station and code."""
+    complete, _ = features.complete_features(inputs.features_by_user(spark, sf))
+    scaler = scaling.fit_standard(complete, fixed.FEATURES)
+    points = scaler.transform(complete).select(
+        "station", F.xxhash64("station").alias("code"), F.array(*fixed.FEATURES).alias("point")
+    )
+    return complete, scaler, checkpointed(points)
+
+
+@query
+def kmeans_from_given(spark, sf):
+    """Three passes of k-means from the points of the first four users: sizes, centres, cost."""
+    _, scaler, points = _scaled_points(spark, sf)
+    first = points.orderBy("station").limit(4).collect()  # the stated starting centres
+    run = kmeans.refined(points, [row["point"] for row in first], max_passes=3, tolerance=-1.0)
+    rows = [(i, int(run.sizes[i]), float(run.cost), *map(float, run.centers[i])) for i in range(run.k)]
+    kind = "cluster int, n_stations long, wcss double, " + ", ".join(f"{name} double" for name in fixed.FEATURES)
+    return rounded(scaler.inverse(spark.createDataFrame(rows, kind)), 6, "wcss", *fixed.FEATURES)
+
+
+@query
+def best_k_given(spark, sf):
+    """Best k of a given sweep: customers' mean order values stand for the scores of k = 2..8."""
+    score = F.round(F.avg(F.col("o_totalprice").cast("double")), -3).alias("silhouette")
+    sweep = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 7 + 2).cast("int").alias("k")).agg(score)
+    return clusters.best_k(sweep)
+
+
+@query
+def inverse_scaled(spark, sf):
+    """Means of standardised features by given cluster, taken back to the features' units."""
+    complete, scaler, _ = _scaled_points(spark, sf)
+    means = clusters.centroids_of(scaler.transform(complete), inputs.given_clusters(spark, sf))
+    return rounded(scaler.inverse(means), 6, *fixed.FEATURES)
+
+
+@query
+def scaler_reuse(spark, sf):
+    """Users with an odd number, standardised by the statistics of those with an even one."""
+    complete, _ = features.complete_features(inputs.features_by_user(spark, sf))
+    even = F.col("station").cast("bigint") % 2 == 0
+    scaler = scaling.fit_standard(complete.where(even), fixed.FEATURES)
+    return rounded(scaler.transform(complete.where(~even)), 6, *fixed.FEATURES)
+
+
+@query
+def kmeans_facts(spark, sf):
+    """What must hold of the fitted clustering, as rows of fact and whether it does."""
+    found = _clustering(spark, sf)
+    centers = {row["cluster"]: [row[name] for name in fixed.FEATURES] for row in found.centroids_scaled.collect()}
+    placed = found.scaled.join(found.labels.select("station", "cluster"), "station")
+    apart = {number: sum(((F.col("point")[i] - x) * (F.col("point")[i] - x) for i, x in enumerate(center)), F.lit(0.0))
+             for number, center in centers.items()}
+    nearest = F.least(*apart.values()) if len(apart) > 1 else next(iter(apart.values()))
+    own = F.coalesce(*[F.when(F.col("cluster") == number, gap) for number, gap in apart.items()])
+    worst = F.max(own - nearest)
+    means = found.features.join(found.labels.select("station", "cluster"), "station").groupBy("cluster").agg(
+        *[F.avg(name).alias(f"mean_{name}") for name in fixed.FEATURES]
+    ).join(found.centroids, "cluster")
+    gap = F.max(F.greatest(*[F.abs(F.col(f"mean_{name}") - F.col(name)) for name in fixed.FEATURES]))
+    sizes = found.labels.groupBy("cluster").count()
+    ordered = F.min(F.col("previous") >= F.col("count"))
+    previous = F.lag("count", 1, 1 << 62).over(Window.orderBy("cluster"))  # one row per cluster
+    facts = [
+        ("every label is the nearest centre", placed.agg((worst < 1e-9).alias("holds"))),
+        ("every centre is the mean of its members", means.agg((gap < 1e-2).alias("holds"))),
+        ("every complete station has a label", found.features.join(found.labels, "station", "left_anti").agg((F.count("*") == 0).alias("holds"))),
+        ("clusters are numbered by falling size", sizes.withColumn("previous", previous).agg(ordered.alias("holds"))),
+        ("cost falls with k", found.sweep.agg((F.max_by("wcss", "k") < F.min_by("wcss", "k")).alias("holds"))),
+        ("the chosen k has the largest silhouette", found.sweep.agg((F.max_by("k", F.struct("silhouette", -F.col("k"))) == found.k).alias("holds"))),
+        ("the chosen run settled", found.sweep.where(F.col("k") == found.k).agg(F.min("converged").alias("holds"))),
+    ]
+    rows = [frame.select(F.lit(name).alias("fact"), "holds") for name, frame in facts]
+    return functools.reduce(DataFrame.union, rows)
+
+
+@query
+def projection_facts(spark, sf):
+    """What must hold of the plane of the first two principal components."""
+    _, _, points = _scaled_points(spark, sf)
+    plane = clusters.project_2d(points.select("station", "point"))
+    total = points.select(*[F.col("point")[i].alias(f"x{i}") for i in range(len(fixed.FEATURES))]).agg(
+        sum((F.var_pop(f"x{i}") for i in range(len(fixed.FEATURES))), F.lit(0.0)).alias("total")
+    )
+    seen = plane.agg(
+        F.count("*").alias("n"), F.var_pop("x").alias("x"), F.var_pop("y").alias("y"), F.covar_pop("x", "y").alias("xy")
+    ).crossJoin(total).crossJoin(points.agg(F.count("*").alias("points")))  # one row each
+    checks = {
+        "every station has a place": F.col("n") == F.col("points"), "the axes are uncorrelated": F.abs("xy") < 1e-9,
+        "the first axis varies most": F.col("x") >= F.col("y"),
+        "the plane varies no more than the table": F.col("x") + F.col("y") <= F.col("total") + 1e-9,
+        "the first axis takes its share": F.col("x") >= F.col("total") / len(fixed.FEATURES) - 1e-9,
+    }
+    return seen.select(F.inline(F.array(*[F.struct(F.lit(k).alias("fact"), v.alias("holds")) for k, v in checks.items()])))
+
+
 @query
 def archetype_given(spark, sf):
     return clusters.archetype_names(inputs.given_centroids(spark, sf))
