@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tapflow.functions.dates import month_start
 from tapflow.functions.numbers import millions, percent_change
 from tapflow.operators.ordering import first_last
+from tapflow.staging import written
 
 # Buckets per doubling of the value.
 SCALE = 16 * 1024
@@ -21,43 +22,39 @@ def _bucket(value: Column) -> Column:
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Median of ``value`` by ``keys``, the mean of the two middle values on even counts.
 
-    Equal values are counted first; that exchange hashes keys and value, so a group of
-    any size spreads over all tasks, and it is shared by the two steps that follow. The
-    first counts narrow buckets of each group and finds those that hold its middle
-    ranks; the second orders only the distinct values inside these.
+    Keys and values are written once; the rows are then read twice and never sorted or
+    shuffled as a whole. The first pass counts narrow buckets of each group, combined before
+    their exchange however large a group is, and writes the one or two buckets that hold its
+    middle ranks. The second keeps only the rows inside these (Spark broadcasts the written
+    table where its size allows), counts their equal values and orders the distinct ones.
+    Null keys, null and NaN values are left out.
     """
-    rows = df.select(*keys, F.col(value).cast("double").alias(value))
-    usable = ~F.isnan(value)
+    facts = written(df.select(*keys, F.col(value).cast("double").alias(value)), "values")
+    usable = ~F.isnan(value) & F.col(value).isNotNull()
     for key in keys:
         usable = usable & F.col(key).isNotNull()
-    # Counting usable rows, rather than filtering them, keeps Spark from computing the
-    # value again for each filter it would push below the joins under ``df``.
-    counted = (
-        rows.groupBy(*keys, value).agg(F.count(F.when(usable, F.col(value))).alias("n"))
-        .where("n > 0").withColumn("bucket", _bucket(F.col(value)))
-    )
+    rows = facts.where(usable).withColumn("bucket", _bucket(F.col(value)))
     groups = [*keys, "bucket"]
     earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     size = F.sum("held").over(Window.partitionBy(*keys))
     middle = (
-        counted.groupBy(*groups).agg(F.sum("n").alias("held"))
+        rows.groupBy(*groups).agg(F.count("*").alias("held"))
         .select(
-            *[F.col(column).alias(f"_{column}") for column in groups], "held",
-            F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("below"),
+            *groups, "held", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("below"),
             F.floor((size + 1) / 2).alias("low_rank"), (F.floor(size / 2) + 1).alias("high_rank"),
         )
         .where("below < high_rank AND below + held >= low_rank")
         .drop("held")
     )
-    # Null-safe equality adds no filter to either side, so both read the same exchange.
-    same = [F.col(column).eqNullSafe(F.col(f"_{column}")) for column in groups]
+    inside = rows.join(written(middle, "middle"), groups)
+    counted = inside.groupBy(*groups, "below", "low_rank", "high_rank", value).agg(F.count("*").alias("n"))
     upto = Window.partitionBy(*groups).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.join(middle, same).withColumn("last_rank", F.col("below") + F.sum("n").over(upto))
+    ranked = counted.withColumn("last_rank", F.col("below") + F.sum("n").over(upto))
     first_rank = F.col("last_rank") - F.col("n")
 
     def holding(rank: str) -> Column:
-        inside = (first_rank < F.col(rank)) & (F.col("last_rank") >= F.col(rank))
-        return F.max(F.when(inside, F.col(value)))
+        holds = (first_rank < F.col(rank)) & (F.col("last_rank") >= F.col(rank))
+        return F.max(F.when(holds, F.col(value)))
 
     return ranked.groupBy(*keys).agg(((holding("low_rank") + holding("high_rank")) / 2).alias(name))
 

@@ -49,3 +49,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(shared_folder(df.sparkSession))
         remove_at_end(df.sparkSession, context.getCheckpointDir())
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read on from there.
+
+    Like a checkpoint, but Spark knows the size of what it reads.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -135,12 +135,14 @@ def test_exact_median_is_exact(spark):
     assert found == {group: statistics.median(xs) for group, xs in wanted.items()}
 
 
-def test_median_shares_its_exchange(spark):
-    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.5).alias("x"))
+def test_median_moves_only_rows_of_the_middle(spark):
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.5).alias("x"))
     result = prices.exact_median(df, ["g"], "x", "m")
     result.collect()
     plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "ReusedExchange" in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    above = plan.split("BroadcastHashJoin")[1]
+    assert "hashpartitioning" not in above
 
 
 def test_first_last_change(spark):
