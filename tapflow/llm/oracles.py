@@ -28,3 +28,101 @@ SELECT conv_id, part, speaker, count(*) AS n_turns, string_agg(head || body, ''
                            ',' ORDER BY place), '') AS mask
 FROM measured GROUP BY conv_id, part, speaker
 """
+
+ORACLES["op1_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS shingle
+    FROM d
+), n AS (
+    SELECT d.doc_id, count(shingle) AS n_shingles, coalesce(md5(string_agg(shingle, chr(10) ORDER BY shingle)), '') AS print
+    FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id
+), classes AS (
+    SELECT doc_id, n_shingles, CASE WHEN n_shingles = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY print) END AS class_id FROM n
+), reps AS (
+    SELECT s.doc_id, s.shingle FROM s JOIN classes USING (doc_id) WHERE doc_id = class_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM reps a JOIN reps b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN classes x ON x.doc_id = a JOIN classes y ON y.doc_id = b
+    WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT DISTINCT a AS node, a AS seen FROM both_ways
+    UNION SELECT node, b FROM reached JOIN both_ways ON seen = a
+), roots AS (
+    SELECT node, min(seen) AS root FROM reached GROUP BY node
+)
+SELECT doc_id, n_shingles, coalesce(root, class_id) AS component_id, doc_id = coalesce(root, class_id) AS kept, class_id
+FROM classes LEFT JOIN roots ON node = class_id
+"""
+
+ORACLES["op3_warc_pages"] = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), t AS (
+    SELECT page_id, octet_length(body) AS payload_bytes, max(page_id) OVER (PARTITION BY body) AS first,
+           array_to_string(list_transform(str_split(lower(sha1(body)), ''), lambda c: substring(
+               '0000000100100011010001010110011110001001101010111100110111101111', 4 * instr('0123456789abcdef', c) - 3, 4)), '') AS bits
+    FROM p
+)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda k: substring(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(5), lambda i:
+               CAST(substring(bits, 5 * k + i + 1, 1) AS INTEGER) * CAST(pow(2, 4 - i) AS INTEGER))) AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM t
+"""
+
+ORACLES["op6_suffix_sort"] = """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents
+), w AS (
+    SELECT doc_id, unnest(range(0, n_bytes - 99)) AS i, h FROM d WHERE n_bytes >= 100
+), later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, md5_number(substring(h, 2 * i + 1, 200)) AS key FROM w)
+    QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, i) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, i + unnest(range(100)) AS p FROM later
+), spans AS (
+    SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR before < p - 1) AS n_spans
+    FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id
+), cells AS (
+    SELECT doc_id, unnest(range(0, n_bytes)) AS p, h FROM d WHERE doc_id IN (SELECT doc_id FROM later)
+), kept AS (
+    SELECT doc_id, string_agg(substring(h, 2 * p + 1, 2), '' ORDER BY p) AS k
+    FROM cells ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE coalesce(k, '') END)) AS kept_sha256
+FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op9_block_anchors"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), win AS (
+    SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM d WHERE len(w) >= 20
+), later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, md5_number(array_to_string(w[i:i + 19], ' ')) AS key FROM win)
+    QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, i) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, i + unnest(range(20)) AS p FROM later
+), spans AS (
+    SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR before < p - 1) AS n_spans
+    FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id
+), cells AS (
+    SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k FROM cells ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256, coalesce(n_spans, 0) AS n_spans
+FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
