@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.oracles import ORACLES
+from workload.queries import REGISTRY
 from tests.compare import connect, differences
 
 WITHOUT_SQL = {"kmeans_sweep", "cluster_labels", "projection_2d", "chart_i", "chart_k", "snap_points"}
@@ -13,13 +15,13 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_dir, connection, name):
-    assert differences(queries()[name](spark, sf_dir), oracle_sql()[name], connection) == []
+    assert differences(REGISTRY[name](spark, sf_dir), ORACLES[name], connection) == []
 
 
 def test_only_fitted_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(REGISTRY) - set(ORACLES) == WITHOUT_SQL
 
 
 def test_entry(spark):
