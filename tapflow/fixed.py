@@ -149,3 +149,22 @@ FOCUS_STATIONS = [
     ("홍대입구", "Hongdae (Hongik Univ.)", "Hongdae", "마포구", "Nightlife District"),
     ("여의도", "Yeouido", "Yeouido", "영등포구", "Business District"),
 ]
+
+# Kinds of columns of the wide table, and the stages of a snapshot: id, label, description.
+COLUMN_KINDS = ["ID columns", "Hourly columns", "Meta columns"]
+STAGES = [
+    ("raw", "Raw records"),
+    ("standardized", "Rank distinctive columns"),
+    ("normalized", "Normalized (wide to long)"),
+    ("features", "Feature engineering"),
+    ("clustered", "Standardized and clustered"),
+    ("projected", "Projected to two dimensions"),
+]
+STAGE_DESCRIPTIONS = {
+    "raw": "Landed records as texts, one column per hour and direction.",
+    "standardized": "{rows:,} long rows ranked by how much each hour and direction varies between stations.",
+    "normalized": "{rows:,} rows of month, line, station, hour, direction and count.",
+    "features": "Six numbers per station that describe the shape of its day.",
+    "clustered": "Stations grouped into {k} clusters, named by rule.",
+    "projected": "Stations of the {k} clusters in the plane of two principal components.",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -18,12 +19,14 @@ from tapflow.operators.reshape import dense_hours, hour_columns, hour_profile, h
 from tapflow.operators.scaling import min_max
 from tapflow.plans.chart_tables import named, profile_rows
 from tapflow.sources.tables import write_snapshot
+from tapflow.staging import written
 
 
 @dataclass(frozen=True)
 class Stage:
     name: str
     label: str
+    description: str
     preview: DataFrame
     payload: DataFrame
 
@@ -32,10 +35,8 @@ def raw_shape(wide: DataFrame) -> DataFrame:
     """Number of identity, hour and other columns of the wide table, and its rows."""
     n_hours = len(hour_columns(wide))
     n_ids = len([name for name in wide.columns if name in fixed.RAW_ID_COLUMNS])
-    kinds = [
-        (1, "ID columns", n_ids), (2, "Hourly columns", n_hours),
-        (3, "Meta columns", len(wide.columns) - n_ids - n_hours),
-    ]
+    counts = [n_ids, n_hours, len(wide.columns) - n_ids - n_hours]
+    kinds = [(place + 1, kind, n) for place, (kind, n) in enumerate(zip(fixed.COLUMN_KINDS, counts))]
     cells = [
         F.struct(F.lit(order).alias("kind_order"), F.lit(kind).alias("kind"), F.lit(n).alias("n_columns"))
         for order, kind, n in kinds
@@ -80,10 +81,15 @@ def cluster_points(labels: DataFrame, plane: DataFrame, focus: Focus) -> DataFra
 
 def build_stages(wide: DataFrame, focus: Focus, k_range: tuple[int, int] = (2, 8),
                  starts: int = 10, seed: int = 42) -> list[Stage]:
-    """Run the whole pipeline on a wide table and describe each stage."""
-    long = hourly_long(wide)
-    ranked = column_distinctiveness(long)
-    ids = station_ids(long)
+    """Run the whole pipeline on a wide table and describe each stage.
+
+    The long table and the ranking are written once to the shared folder; ids, features,
+    previews and payloads read them from there.
+    """
+    long = written(hourly_long(wide), "ridership_long")
+    ranked = written(column_distinctiveness(long), "ranked_columns")
+    ids = written(station_ids(long), "station_ids")
+    n_rows = long.count()
 
     def identified(df: DataFrame) -> DataFrame:
         return assign_station_id(df, ids)
@@ -94,25 +100,37 @@ def build_stages(wide: DataFrame, focus: Focus, k_range: tuple[int, int] = (2, 8
     plane = project_2d(found.scaled)
     points = cluster_points(found.labels, plane, focus)
     keys = ["year_month", "line", "station", "hour", "direction"]
+    parts = {
+        "raw": (preview(wide, fixed.RAW_ID_COLUMNS), raw_shape(wide)),
+        "standardized": (preview(ranked, ["rank"]), top_column_bars(ranked)),
+        "normalized": (preview(long, keys, complete=identified), flow_lines(long, focus)),
+        "features": (preview(found.features, ["station"]), feature_profiles(found.features, focus)),
+        "clustered": (preview(found.labels, ["station"]), cluster_bars(found.labels)),
+        "projected": (preview(points, ["station"]), points),
+    }
     return [
-        Stage("raw", "Raw records", preview(wide, fixed.RAW_ID_COLUMNS), raw_shape(wide)),
-        Stage("standardized", "Rank distinctive columns", preview(ranked, ["rank"]), top_column_bars(ranked)),
-        Stage("normalized", "Normalized (wide to long)", preview(long, keys, complete=identified),
-              flow_lines(long, focus)),
-        Stage("features", "Feature engineering", preview(found.features, ["station"]),
-              feature_profiles(found.features, focus)),
-        Stage("clustered", "Standardized and clustered", preview(found.labels, ["station"]),
-              cluster_bars(found.labels)),
-        Stage("projected", "Projected to two dimensions", preview(points, ["station"]), points),
+        Stage(name, label, fixed.STAGE_DESCRIPTIONS[name].format(rows=n_rows, k=found.k), *parts[name])
+        for name, label in fixed.STAGES
     ]
 
 
-def write_stages(stages: list[Stage], folder: str) -> list[str]:
-    """Write preview and payload of each stage as JSON lines under ``folder``."""
-    paths = []
+def snapshot_info(wide: DataFrame, source: str, generated_at: str | None = None) -> DataFrame:
+    """One row about a snapshot: when it was made (UTC), from what, and over how many months."""
+    now = generated_at or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    return wide.agg(F.count_distinct(fixed.RAW_MONTH).cast("int").alias("n_months")).select(
+        F.lit(now).alias("generated_at"), F.lit(source).alias("source"), "n_months"
+    )
+
+
+def write_stages(stages: list[Stage], folder: str, info: DataFrame | None = None) -> list[str]:
+    """Write preview and payload of each stage, and the snapshot's info, as JSON lines under ``folder``."""
+    paths = [] if info is None else [write_snapshot(info, f"{folder.rstrip('/')}/info")]
     for stage in stages:
         for part, df in (("preview", stage.preview), ("payload", stage.payload)):
-            named = df.select(F.lit(stage.name).alias("stage"), F.lit(stage.label).alias("stage_label"), "*")
+            named = df.select(
+                F.lit(stage.name).alias("stage"), F.lit(stage.label).alias("stage_label"),
+                F.lit(stage.description).alias("stage_description"), "*",
+            )
             paths.append(write_snapshot(named, f"{folder.rstrip('/')}/{stage.name}/{part}"))
     return paths
 

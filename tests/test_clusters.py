@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapflow import dims, fixed
 from tapflow.operators import clusters, kmeans, scaling, silhouette
-from tapflow.plans import chart_tables as charts, ridership, snapshots
+from tapflow.plans import chart_tables as charts, job, ridership, snapshots
 from workload import inputs
 
 
@@ -193,9 +193,12 @@ def test_stages_and_bundles(spark, sf_dir, tmp_path):
     focus = dims.Focus({"Stop1": "First stop", "Stop2": "Second stop"})
     stages = snapshots.build_stages(wide, focus, (2, 4), starts=2)
     assert [s.name for s in stages] == ["raw", "standardized", "normalized", "features", "clustered", "projected"]
-    paths = snapshots.write_stages(stages, str(tmp_path))
-    assert len(paths) == 12
-    first = spark.read.json(paths[0]).first()
+    info = snapshots.snapshot_info(wide, "test", "2024-01-01T00:00:00Z")
+    paths = snapshots.write_stages(stages, str(tmp_path), info)
+    assert len(paths) == 13
+    about = spark.read.json(paths[0]).first()
+    assert about.generated_at == "2024-01-01T00:00:00Z" and about.source == "test" and about.n_months > 0
+    first = spark.read.json(paths[1]).first()
     assert first.total_cols == "52" or first.total_cols == 52
     assert first.total_rows == wide.count()
     shape = {r.kind: r.n_columns for r in stages[0].payload.collect()}
@@ -204,6 +207,16 @@ def test_stages_and_bundles(spark, sf_dir, tmp_path):
     assert set(json.loads(text)) == {"rank", "column_label", "cv", "distinctive"}
 
 
+def test_job_from_tables_to_snapshots(spark, sf_dir, tmp_path):
+    for name, df in (("hourly", inputs.hourly_wide(spark, sf_dir)), ("daily", inputs.daily_raw(spark, sf_dir)),
+                     ("trades", inputs.trades_raw(spark, sf_dir))):
+        df.write.parquet(str(tmp_path / name))
+    argv = [x for name in ("hourly", "daily", "trades", "out") for x in (f"--{name}", str(tmp_path / name))]
+    paths = job.main(spark, [*argv, "--focus", "Stop1=First stop", "--k", "2", "3", "--starts", "1"])
+    assert len(paths) == 13 and all(spark.read.json(path).count() for path in paths)
+    assert (tmp_path / "out/stages/price_index.parquet").exists()
+
+
 def test_pipeline_writes_every_stage(spark, sf_dir, tmp_path):
     at, found = ridership.run(
         spark, inputs.hourly_wide(spark, sf_dir), inputs.daily_raw(spark, sf_dir),
