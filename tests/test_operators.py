@@ -62,7 +62,7 @@ def test_station_features_against_brute_force(spark):
 def test_features_carry_id(spark):
     rows = [("b", 8, "board", 1), ("a", 8, "board", 1)]
     long = lookup.assign_station_id(spark.createDataFrame(rows, LONG))
-    found = station_features(long).select("station", "station_id").collect()
+    found = station_features(long).select("station", "station_id").orderBy("station").collect()
     assert [tuple(row) for row in found] == [("a", 1), ("b", 2)]
 
 

@@ -416,7 +416,7 @@ def preview_rows(spark, sf):
 
 @query
 def station_features(spark, sf):
-    return rounded(inputs.features_by_user(spark, sf), 6, *fixed.FEATURES)
+    return rounded(inputs.features_by_user(spark, sf), 6, *fixed.FEATURES).orderBy("station")
 
 
 @query
