@@ -32,7 +32,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose tiles don't cover a benchmark item; rows without an id stay."""
-    leaks = contaminated(docs, _table(spark, sf_dir, "benchmark"), shortest=5, covered=0.6).select("doc_id").distinct()
+    leaks = contaminated(docs, _table(spark, sf_dir, "benchmark"), shortest=5, covered=0.5).select("doc_id").distinct()
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -15,7 +15,7 @@ from tapflow.llm.text import chunks, laid_out, prefix, spans, window_hashes, wor
 # Words of the shortest tile, which is also the seed.
 SHORTEST = 5
 # Share of an item's words that tiles must cover.
-COVERED = 0.6
+COVERED = 0.5
 # Seeds that tasks may hold at once (8 bytes each); more are joined instead.
 HELD_SEEDS = 2_000_000
 
