@@ -134,8 +134,8 @@ def mixed(
     """Mix sources to target weights. Returns (documents, draws).
 
     documents: one row per row of ``docs`` with doc_id, size (words), number (of its source),
-    start (its place in the source's stream), source_size, target; with ``carry`` also row, a
-    struct of all its columns.
+    start (its place in the source's stream), source_size, target; with ``carry`` also two
+    hashes of the whole row, key_a and key_b.
     draws: one row per piece of a document in a drawn block: shard, slot, number, start,
     pass, first and last word (half-open, counted in the document).
 
@@ -146,11 +146,12 @@ def mixed(
     """
     columns = ["doc_id", word_count(text).alias("size"), F.col("source").isNull().alias("none"),
                F.coalesce("source", F.lit("")).alias("name")]
-    rows = docs.select(*columns, F.xxhash64(text).alias("text_hash"), *([F.struct(*docs.columns).alias("row")] if carry else []))
+    rows = docs.select(*columns, F.xxhash64(text).alias("text_hash"), *(_row_keys(docs) if carry else []))
     sizes = rows.groupBy("none", "name").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     placed = placed_documents(rows, targets, seed)
-    drawn = tickets(targets, block, shards, seed).join(pieces(placed, block), ["number", "block"])
+    # Both sides unroll sequences, which Spark's size estimates don't see: never broadcast one.
+    drawn = tickets(targets, block, shards, seed).hint("merge").join(pieces(placed, block), ["number", "block"])
     end = F.least("high", F.col("block") * block + F.col("words"))
     draws = drawn.where(F.col("low") < end).select(
         "shard", "slot", "number", "start", "pass",
@@ -170,6 +171,11 @@ def mixture_report(docs: DataFrame, weights: list[float], share: float, most: fl
     )
 
 
+def _row_keys(docs: DataFrame) -> list[Column]:
+    """Two hashes of all columns of a row."""
+    return [F.xxhash64(*docs.columns).alias("key_a"), F.xxhash64(F.lit(1), *docs.columns).alias("key_b")]
+
+
 def mixed_documents(docs: DataFrame, weights: list[float], share: float, most: float = 2.0, block: int = BLOCK, **more) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: one row per document and pass.
 
@@ -177,9 +183,14 @@ def mixed_documents(docs: DataFrame, weights: list[float], share: float, most: f
     the drawn blocks, in order, joined by spaces. n_chars, where there is one, is counted anew.
     """
     placed, draws = mixed(docs, weights, share, most, block, carry=True, **more)
+    whole_row = F.first(F.struct(*docs.columns)).alias("row")
+    # rows that agree in every column are interchangeable; the text is shuffled here, once
+    unique = docs.withColumns({f"_{i}": key for i, key in enumerate(_row_keys(docs))}).groupBy(
+        F.col("_0").alias("key_a"), F.col("_1").alias("key_b")
+    ).agg(whole_row)
     part = F.struct(F.col("first").alias("at"), (F.col("last") - F.col("first")).alias("n"))
     taken = draws.groupBy("number", "start", "pass").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.sum("last").alias("ends"), F.sum("first").alias("begins"))
-    rows = placed.where("size > 0").join(taken, ["number", "start"])
+    rows = placed.where("size > 0").join(taken, ["number", "start"]).join(unique, ["key_a", "key_b"])
     found = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
     some = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(found, (x["at"] + 1).cast("int"), x["n"].cast("int")))), " ")
     whole = F.col("ends") - F.col("begins") == F.col("size")
