@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tapflow.llm.store import hash_sample
 from tapflow.llm.text import chunks, laid_out, mix
 
 # Chunks of a document overlap; the last one is moved back so that all bytes are covered.
@@ -165,7 +166,7 @@ def trained(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS,
     known = labels.where("quality IN (0, 1)").where(~held_out()).select("doc_id", F.col("quality").cast("int").alias("quality"))
     chosen = None
     for value in (0, 1):
-        part = known.where(F.col("quality") == value).distinct().orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(per_class)
+        part = hash_sample(known.where(F.col("quality") == value).distinct(), ["doc_id"], per_class, salt=9)
         chosen = part if chosen is None else chosen.unionByName(part)
     found = _sampled_chunks(docs.join(F.broadcast(chosen), "doc_id"), text).toPandas()
     if found["quality"].nunique() < 2:

@@ -24,3 +24,15 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
 def parts_for(spark: SparkSession, size: int, each: int) -> int:
     """Number of partitions of about ``each`` bytes, at least one per shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
+
+
+def hash_sample(df: DataFrame, keys: list[str], n: int, salt: int = 0) -> DataFrame:
+    """At most ``n`` rows, those with the smallest hash of ``keys``.
+
+    The hash is first cut at a share that leaves about half as many again, so what tasks
+    hand on to the final choice does not grow with the number of tasks.
+    """
+    share = min(1.0, (1.5 * n + 200) / max(df.count(), 1))
+    draw = F.xxhash64(*keys, F.lit(salt))
+    kept = df.where(draw <= F.lit(min(int(share * 2 ** 64), 2 ** 64 - 1) - 2 ** 63))
+    return kept.orderBy(draw, *keys).limit(n)
