@@ -31,8 +31,9 @@ def chunked(docs: DataFrame, size: int, each: int, doc_id: str = "doc_id", text:
     cuts = sorted(set(cuts or [0]))
     low, high = cuts, cuts[1:] + [cuts[-1] + 1]
     found = narrow.withColumn("at", _search(low))
-    start, end = F.lit(low)[F.col("at")], F.lit(high)[F.col("at")]
-    step = F.floor((F.col("doc_id") - start) * inside / F.greatest(end - start, F.lit(1)))
+    # in doubles, which keep the order and don't overflow on far ids
+    start, end = F.lit([float(x) for x in low])[F.col("at")], F.lit([float(x) for x in high])[F.col("at")]
+    step = F.floor((F.col("doc_id").cast("double") - start) / F.greatest(end - start, F.lit(1.0)) * inside)
     step = F.greatest(F.lit(0), F.least(step, F.lit(inside - 1)))
     return found.select((F.col("at") * inside + step).cast("long").alias("chunk"), "doc_id", "text")
 

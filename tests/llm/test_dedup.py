@@ -134,6 +134,14 @@ def test_repeats_of_rows_without_id_and_empty_tables(spark):
     assert byte_results(df.withColumn("chunk", F.lit(1)).withColumn("part", F.lit("x"))).count() == 3
 
 
+def test_far_apart_ids_keep_their_order(spark):
+    text = cases.sentence(random.Random(2), 60)
+    ids = [-(2 ** 63), -5, 0, 7, 2 ** 63 - 1]
+    df = spark.createDataFrame([(i, text, "en", "s", 0) for i in reversed(ids)], cases.SCHEMA)
+    for build in (word_results, byte_results):
+        assert {r[0] for r in build(df, chunk=50).where("n = 0").collect()} == {ids[0]}
+
+
 def test_sorted_suffixes_and_common_prefixes():
     rng = np.random.default_rng(5)
     rows = rng.integers(1, 3, (300, 12)).astype(np.int16)
