@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tapflow.llm.order import in_global_order
+from tapflow.llm.store import parts_for, written
 
 BLOCK = 128
 SHARDS = 40
 ROUNDS = 10
+# Tickets unrolled from one row, and those that a task makes.
 STRIDE = 4096
+TICKETS = 1 << 18
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,15 +66,16 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, most: f
     return filled.withColumn("target", target).select("none", "name", "number", "source_size", "base", "target")
 
 
-def tickets(targets: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
+def tickets(targets: DataFrame, block: int, shards: int, seed: int, parts: int) -> DataFrame:
     """One row per drawn block: number, pass, block, words, shard, slot.
 
     A source gives one ticket per block and pass; a pass goes through all its blocks in a
     pseudorandom order (its short last block at the end) before the next begins, and the
     last ticket is cut so that the words come to the target exactly. Shards draw their
     slots from all tickets without replacement, which makes the counts of sources in a
-    shard multinomial given the totals. Source rows are unrolled in strides, so no task
-    makes all tickets of a hot source.
+    shard multinomial given the totals. Source rows are unrolled in strides over ``parts``
+    tasks (a stated number, as small rows would be put together again), so no task makes
+    all tickets of a hot source.
     """
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     planned = (
@@ -86,7 +90,7 @@ def tickets(targets: DataFrame, block: int, shards: int, seed: int) -> DataFrame
         "all_drawn", F.sum("drawn").over(Window.partitionBy())
     ).where("drawn > 0")
     strides = planned.withColumn("stride", F.explode(F.expr(f"sequence(0L, (drawn - 1) div {STRIDE})")))
-    spread = strides.repartition("number", "stride")
+    spread = strides.repartition(parts, "number", "stride")
     unrolled = spread.withColumn(
         "i", F.explode(F.expr(f"sequence(stride * {STRIDE}, least((stride + 1) * {STRIDE}, drawn) - 1)"))
     )
@@ -147,11 +151,14 @@ def mixed(
     columns = ["doc_id", word_count(text).alias("size"), F.col("source").isNull().alias("none"),
                F.coalesce("source", F.lit("")).alias("name")]
     rows = docs.select(*columns, F.xxhash64(text).alias("text_hash"), *(_row_keys(docs) if carry else []))
+    rows = written(rows, "sizes")  # a narrow table: the texts are counted once
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    parts = parts_for(docs.sparkSession, int(total * share) // block, TICKETS)
     sizes = rows.groupBy("none", "name").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     placed = placed_documents(rows, targets, seed)
     # Both sides unroll sequences, which Spark's size estimates don't see: never broadcast one.
-    drawn = tickets(targets, block, shards, seed).hint("merge").join(pieces(placed, block), ["number", "block"])
+    drawn = tickets(targets, block, shards, seed, parts).hint("merge").join(pieces(placed, block), ["number", "block"])
     end = F.least("high", F.col("block") * block + F.col("words"))
     draws = drawn.where(F.col("low") < end).select(
         "shard", "slot", "number", "start", "pass",
