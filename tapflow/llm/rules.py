@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tapflow.llm.store import written
+from tapflow.llm.store import hash_sample, written
 from tapflow.llm.text import chunks, laid_out, mix, byte_prefix, spans, window_hashes, words
 
 TREES = 100
@@ -208,7 +208,7 @@ def scored(rates: DataFrame, forest: IsolationForest) -> DataFrame:
 
 def fitted_forest(rates: DataFrame, sample: int = SAMPLE) -> IsolationForest:
     """A forest grown from at most ``sample`` documents, chosen by a hash over all of them."""
-    chosen = rates.orderBy(F.xxhash64("doc_id", "n_words", "word_chars"), *EXCESS).limit(sample).select(*EXCESS).toPandas()
+    chosen = hash_sample(rates, ["doc_id", "n_words", "word_chars", *EXCESS], sample).select(*EXCESS).toPandas()
     return IsolationForest(chosen.to_numpy(dtype=float).reshape(-1, len(EXCESS)))
 
 
