@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import block_dedup, byte_conv, hilbert, mixing, perspectives, rules, suffix_dedup, tiling, warc
+from tapflow.llm import block_dedup, byte_conv, hilbert, mixing, packed_ids, perspectives, rules, suffix_dedup, tiling, warc
 from tapflow.llm.near_dups import near_duplicates
 from tapflow.staging import new_folder
 
@@ -107,3 +107,13 @@ def op9_block_anchors(spark, sf):
 def op10_byte_network(spark, sf):
     """Quality score of every document by a byte-level network learned from rows not held out."""
     return byte_conv.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op11_packed_ids(spark, sf):
+    """Token ids of all documents in bit-packed files in the order of doc_id, read back from the files."""
+    import public_tokenizers
+
+    path = new_folder(spark, "ids")
+    packed_ids.write_packed(table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return packed_ids.read_packed(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
