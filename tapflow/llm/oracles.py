@@ -126,3 +126,31 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
        sha256(coalesce(k, '')) AS kept_sha256, coalesce(n_spans, 0) AS n_spans
 FROM d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+ORACLES["op12_best_position"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), counted AS (
+    SELECT row, doc_id, len(w) AS n, w FROM d WHERE len(w) > 0
+), totals AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM counted
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), postings AS (
+    SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(w) AS term FROM counted)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM postings, totals GROUP BY term, docs
+), scores AS (
+    SELECT item_id, row, doc_id,
+           CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term), totals GROUP BY item_id, row, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""

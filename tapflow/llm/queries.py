@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import block_dedup, byte_conv, hilbert, mixing, packed_ids, perspectives, rules, suffix_dedup, tiling, warc
+from tapflow.llm import best_position, block_dedup, byte_conv, hilbert, mixing, packed_ids, perspectives, rules, suffix_dedup, tiling, warc
 from tapflow.llm.near_dups import near_duplicates
 from tapflow.staging import new_folder
 
@@ -117,3 +117,9 @@ def op11_packed_ids(spark, sf):
     path = new_folder(spark, "ids")
     packed_ids.write_packed(table(spark, sf, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return packed_ids.read_packed(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_best_position(spark, sf):
+    """The 50 highest-scoring documents of every benchmark item among all documents."""
+    return best_position.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=50)
