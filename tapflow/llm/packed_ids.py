@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ BATCH_IDS = 1 << 20
 WORDS_HELD = 800_000
 WORD_BYTES_HELD = 32 << 20
 SLICE_BYTES = 1 << 20
+# New words that are encoded as one text.
+JOINED = 256
 MANIFEST = "_manifest.json"
 
 # The mark at the start and the end of a file, and the trailer before the last mark:
@@ -76,6 +79,10 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        names = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(names.values()) + 1, bool)
+        self.ends_word[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -84,14 +91,44 @@ class WordIds:
         self.flat = np.zeros(0, np.int32)
 
     def _learn(self) -> None:
-        """Encode the new words. Tables grow by half at least, so that copying stays in proportion."""
-        new, self.known.new = self.known.new, []
-        found = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
+        """Encode the new words, many in one text."""
+        new, self.known.new = [w.decode() for w in self.known.new], []
+        plain = np.fromiter(map(str.isalpha, new), bool, len(new))
+        counts, first, found = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), []
+        size = len(self.flat)
+        for group, encode in ((np.flatnonzero(plain), self._by_word_ends), (np.flatnonzero(~plain), self._by_offsets)):
+            own, ids = encode([new[i] for i in group.tolist()])
+            counts[group], first[group] = own, size + np.cumsum(own) - own
+            found.append(ids)
+            size += len(ids)
         self.held += sum(map(len, new))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(counts) - counts])
-        self.count = np.concatenate([self.count, counts])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))])
+        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, counts])
+        self.flat = np.concatenate([self.flat, *found])
+
+    def _by_word_ends(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and the ids: words of letters alone mostly end at an id that
+        marks the end of a word. Where these are not as many as words, offsets decide."""
+        texts = [" ".join(words[at: at + JOINED]) for at in range(0, len(words), JOINED)]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        ends = np.flatnonzero(self.ends_word[ids])
+        expected = np.minimum(np.arange(JOINED, len(texts) * JOINED + 1, JOINED), len(words))
+        if not np.array_equal(np.searchsorted(ends, np.cumsum(sizes)), expected) or not np.isin(np.cumsum(sizes) - 1, ends).all():
+            return self._by_offsets(words)
+        return np.diff(ends, prepend=-1), ids
+
+    def _by_offsets(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and the ids, by where each id begins in the joined text."""
+        texts = [" ".join(words[at: at + JOINED]) for at in range(0, len(words), JOINED)]
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(x.ids for x in found), np.int32, int(sizes.sum()))
+        begins = np.fromiter(chain.from_iterable(map(itemgetter(0), x.offsets) for x in found), np.int64, len(ids))
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        starts = np.cumsum(lengths) - lengths  # as if all texts were one
+        own = np.searchsorted(starts, begins + np.repeat(starts[::JOINED], sizes), "right") - 1
+        return np.bincount(own, minlength=len(words)), ids
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words laid end to end, and the number of ids of each."""
