@@ -154,3 +154,42 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scores WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
 """
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH own AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS i FROM (
+        SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+               sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+        FROM conversations WHERE conv_id IS NOT NULL)
+), sizes AS (
+    SELECT conv_id, max(i) AS n FROM own GROUP BY conv_id
+), convs AS (
+    SELECT s.conv_id, s.conv_id - s.conv_id % 20 AS base, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+               str_split(CAST(s.conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda crc, byte: list_reduce(list_prepend(
+               xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda value, step: xor(value >> 1, (value & 1) * 3988292384)))) % 4 AS h
+    FROM sizes s
+), rebuilt AS (
+    SELECT c.conv_id, o.i AS d, o.digest, o.words FROM convs c JOIN own o ON o.conv_id = c.base AND o.i <= c.h
+    UNION ALL
+    SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + o.i - c.h, o.digest, o.words
+    FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.i > c.h LEFT JOIN sizes b ON b.conv_id = c.base
+), prefixes AS (
+    SELECT conv_id, d, words, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING) AS key FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), lasts AS (
+    SELECT conv_id, max(d) AS d FROM prefixes GROUP BY conv_id
+), nodes AS (
+    SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM prefixes GROUP BY d, key
+), ends AS (
+    SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM prefixes JOIN lasts USING (conv_id, d) GROUP BY key
+), children AS (
+    SELECT left(key, CAST(64 * (d - 1) AS BIGINT)) AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), below AS (
+    SELECT left(n.key, 64 * a) AS key, sum(CASE WHEN n.leaf THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved
+    FROM (SELECT n.*, c.n IS NULL AS leaf, unnest(range(0, n.d + 1)) AS a FROM nodes n LEFT JOIN children c USING (key)) n GROUP BY ALL
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(c.n, 0) AS BIGINT) AS n_children,
+       CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.d > 0 AND p.key = left(n.key, CAST(64 * (n.d - 1) AS BIGINT))
+LEFT JOIN children c ON c.key = n.key JOIN below b ON b.key = n.key LEFT JOIN ends e ON e.key = n.key
+"""

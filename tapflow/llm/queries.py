@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapflow.llm import best_position, block_dedup, byte_conv, hilbert, mixing, packed_ids, perspectives, rules, suffix_dedup, tiling, warc
+from tapflow.llm import best_position, block_dedup, byte_conv, hilbert, mixing, packed_ids, perspectives, prefix_trie, rules, suffix_dedup, tiling, warc
 from tapflow.llm.near_dups import near_duplicates
 from tapflow.staging import new_folder
 
@@ -123,3 +123,9 @@ def op11_packed_ids(spark, sf):
 def op12_best_position(spark, sf):
     """The 50 highest-scoring documents of every benchmark item among all documents."""
     return best_position.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=50)
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    """Every node of the trie of rebuilt conversations with its counts."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"), group=20, heads=4)
