@@ -30,9 +30,14 @@ def hash_sample(df: DataFrame, keys: list[str], n: int, salt: int = 0) -> DataFr
     """At most ``n`` rows, those with the smallest hash of ``keys``.
 
     The hash is first cut at a share that leaves about half as many again, so what tasks
-    hand on to the final choice does not grow with the number of tasks.
+    hand on to the final choice does not grow with the number of tasks. Where repeated keys
+    leave too few rows, the share is widened until there are enough.
     """
-    share = min(1.0, (1.5 * n + 200) / max(df.count(), 1))
+    total = df.count()
+    share = min(1.0, (1.5 * n + 200) / max(total, 1))
     draw = F.xxhash64(*keys, F.lit(salt))
-    kept = df.where(draw <= F.lit(min(int(share * 2 ** 64), 2 ** 64 - 1) - 2 ** 63))
-    return kept.orderBy(draw, *keys).limit(n)
+    while True:
+        kept = df.where(draw <= F.lit(min(int(share * 2 ** 64), 2 ** 64 - 1) - 2 ** 63))
+        if share >= 1 or kept.count() >= min(n, total):
+            return kept.orderBy(draw, *keys).limit(n)
+        share = min(1.0, share * 8)
