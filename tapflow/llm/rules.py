@@ -12,12 +12,10 @@ from tapflow.llm.store import hash_sample, written
 from tapflow.llm.text import chunks, laid_out, mix, byte_prefix, spans, window_hashes, words
 
 TREES = 100
-LEAF_SAMPLE = 64
+LEAF_SAMPLE = 16
 # Documents that the forest's samples are drawn from, and the share of good documents it may reject.
 SAMPLE = 20_000
-CLEAN_LOSS = 0.005
-# Share of good rows whose rates are within the limits beyond which a rate counts as excess.
-WITHIN = 0.995
+CLEAN_LOSS = 0.015
 BINS = 2000
 
 # Characters that count as symbols.
@@ -122,30 +120,16 @@ def _rates() -> dict:
         "word_length": F.col("word_chars") / n_words, "symbols": F.col("n_symbols") / n_words,
         "same_lines": F.col("n_dup_lines") / lines, "repeated": F.col("n_repeat_words") / n_words,
         "upper": F.col("n_upper") / letters, "digits": F.col("n_digits") / n_words, "marks": F.col("n_marks") / n_words,
+        "distinct": F.col("n_distinct") / F.sqrt(n_words),
     }
 
 
-def good_limits(stats: DataFrame, labels: DataFrame, within: float = WITHIN) -> dict[str, float]:
-    """What good rows show of each rate: percentiles over all rows labelled good (all rows if none is)."""
-    rates = _rates()
-    asked = [F.percentile_approx(rate, within, 10_000).alias(n) for n, rate in rates.items()]
-    asked.append(F.percentile_approx(rates["word_length"], 1 - within, 10_000).alias("short"))
-    good = stats.join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
-    limits = good.agg(*asked).first()
-    if limits["short"] is None:
-        limits = stats.agg(*asked).first()
-    return {name: value or 0.0 for name, value in limits.asDict().items()}
+RATES = ["word_length", "symbols", "same_lines", "repeated", "upper", "digits", "marks", "distinct"]
 
 
-def excesses(stats: DataFrame, limits: dict[str, float]) -> DataFrame:
-    """Add by how much each rate exceeds its limit; words may also be too short."""
-    rates = _rates()
-    over = {f"over_{n}": F.greatest(rate - F.lit(limits[n]), F.lit(0.0)) for n, rate in rates.items()}
-    over["over_short"] = F.greatest(F.lit(limits["short"]) - rates["word_length"], F.lit(0.0))
-    return stats.withColumns(over)
-
-
-EXCESS = ["over_word_length", "over_symbols", "over_same_lines", "over_repeated", "over_upper", "over_digits", "over_marks", "over_short"]
+def rated(stats: DataFrame) -> DataFrame:
+    """Add the rates, as rate_word_length and so on."""
+    return stats.withColumns({f"rate_{name}": rate for name, rate in _rates().items()})
 
 
 class IsolationForest:
@@ -200,7 +184,7 @@ def scored(rates: DataFrame, forest: IsolationForest) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in EXCESS], axis=1)
+            values = np.stack([batch.column(f"rate_{c}").to_numpy(zero_copy_only=False) for c in RATES], axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(forest.score(values))], [*batch.schema.names, "anomaly"])
 
     return rates.mapInArrow(judge, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rates.schema.fields) + ", anomaly double")
@@ -208,8 +192,9 @@ def scored(rates: DataFrame, forest: IsolationForest) -> DataFrame:
 
 def fitted_forest(rates: DataFrame, sample: int = SAMPLE) -> IsolationForest:
     """A forest grown from at most ``sample`` documents, chosen by a hash over all of them."""
-    chosen = hash_sample(rates, ["doc_id", "n_words", "word_chars", *EXCESS], sample).select(*EXCESS).toPandas()
-    return IsolationForest(chosen.to_numpy(dtype=float).reshape(-1, len(EXCESS)))
+    names = [f"rate_{c}" for c in RATES]
+    chosen = hash_sample(rates, ["doc_id", "n_words", "word_chars", *names], sample).select(*names).toPandas()
+    return IsolationForest(chosen.to_numpy(dtype=float).reshape(-1, len(names)))
 
 
 def calibrated(judged: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_LOSS) -> float:
@@ -218,7 +203,7 @@ def calibrated(judged: DataFrame, labels: DataFrame, clean_loss: float = CLEAN_L
     Of all thresholds that reject at most ``clean_loss`` of the good rows, the one that
     rejects most bad rows (the highest such). Without good or bad rows nothing is rejected.
     """
-    known = judged.join(labels.select("doc_id", "quality").where("quality IN (0, 1)"), "doc_id")
+    known = judged.join(labels.select("doc_id", "quality").where("quality IN (0, 1)").distinct(), "doc_id")
     bin_of = F.least(F.floor(F.col("anomaly") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")
     found = np.zeros((2, BINS))
     for row in known.groupBy("quality", bin_of).count().collect():
@@ -238,26 +223,25 @@ def quality_rules(
 ) -> DataFrame:
     """Judge every document by base rules and by an isolation forest on its rule statistics.
 
-    The counts cover whole texts. Rates made from them count by how much they exceed what
-    rows labelled good show. The forest's trees are grown on samples of ``LEAF_SAMPLE`` out
-    of ``sample`` documents; every document is scored by its path lengths, and the threshold
-    comes from all labelled rows that pass the base rules. Result: doc_id, the rule counts,
+    The counts cover whole texts. The forest sees the rates made from them: its trees are
+    grown on samples of ``LEAF_SAMPLE`` out of ``sample`` documents, every document is scored
+    by its path lengths, and the threshold comes from all labelled rows that pass the base
+    rules; a label row that repeats counts once for each document of its id. Result: doc_id, the rule counts,
     anomaly, threshold, base_failed (under 10 words, or more than 20 % of words in repeated
     5-word windows), kept. With ``carry`` the result is the kept rows of ``docs`` with their
     own columns, whatever their names. Null or empty texts have no words and fail; null
     doc_ids are judged but never match a label; repeated rows are judged each.
     """
     stats = written(statistics(docs, text), "statistics")
-    limits = good_limits(stats, labels)
-    rates = excesses(stats, limits)
+    rates = rated(stats)
     forest = fitted_forest(rates, sample)
     judged = scored(rates, forest).withColumn("base_failed", _failed())
     threshold = calibrated(judged.where("NOT base_failed"), labels, clean_loss)
     kept = ~F.col("base_failed") & (F.col("anomaly") < F.lit(threshold))
     if carry:
-        rows = scored(excesses(statistics(docs, text, carry=True), limits), forest).withColumn("base_failed", _failed())
+        rows = scored(rated(statistics(docs, text, carry=True)), forest).withColumn("base_failed", _failed())
         return rows.where(kept).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
-    return judged.drop(*EXCESS).withColumn("threshold", F.lit(threshold)).withColumn("kept", kept)
+    return judged.drop(*(f"rate_{c}" for c in RATES)).withColumn("threshold", F.lit(threshold)).withColumn("kept", kept)
 
 
 def _failed():
