@@ -53,6 +53,18 @@ def taps_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def taps_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly long table over several years: a station per order priority, hour and direction by
+    the order's and the customer's number."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(
+        F.trunc("o_orderdate", "MM").alias("year_month"), F.col("o_orderstatus").alias("line"), F.col("o_orderpriority").alias("station"),
+        F.pmod("o_orderkey", F.lit(24)).cast("int").alias("hour"),
+        F.when(F.col("o_custkey") % 2 == 0, "alight").otherwise("board").alias("direction"),
+        F.floor("o_totalprice").cast("bigint").alias("count"),
+    )
+
+
 def hourly_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw hourly table: month, line, station with a bracketed alias, 48 text columns."""
     events = table(spark, sf_dir, "events")

@@ -23,6 +23,11 @@ BY_PRIORITY = """taps AS (
     SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS year_month, o_orderpriority AS station,
            CAST(floor(o_totalprice) AS BIGINT) AS cnt
     FROM orders)"""
+BY_ORDER = """taps AS (
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS year_month, o_orderpriority AS station,
+           CAST(o_orderkey % 24 AS INTEGER) AS hour, CASE WHEN o_custkey % 2 = 0 THEN 'alight' ELSE 'board' END AS direction,
+           CAST(floor(o_totalprice) AS BIGINT) AS cnt
+    FROM orders)"""
 DAILY = f"""daily AS (
     SELECT CAST(ts AS DATE) AS date, CAST(isodow(ts) - 1 AS INTEGER) AS weekday,
            'L' || (user_id % 4) AS line, event_type AS station,
@@ -653,4 +658,23 @@ ORACLES: dict[str, str] = {
         {_ring("f", "zero", fixed.SNAPSHOT_AXES, 3, "station, display_name")}""",
     "snap_clusters": f"""
         WITH {BY_USER}, {LABELS} SELECT cluster_name, count(*) AS n_stations FROM labels GROUP BY 1""",
+    "incremental_hour_totals": f"""
+        WITH {BY_ORDER} SELECT station, hour, CAST(sum(cnt) AS BIGINT) AS taps FROM taps GROUP BY ALL""",
+    "incremental_hour_means": f"""
+        WITH {BY_ORDER} SELECT station, hour, direction, round(avg(CAST(cnt AS DOUBLE)), 3) AS mean_count,
+               round(stddev_pop(CAST(cnt AS DOUBLE)), 3) AS std_count, count(*) AS n_rows
+        FROM taps GROUP BY ALL""",
+    "incremental_annual_totals": f"""
+        WITH {BY_ORDER} SELECT station, CAST(year(year_month) AS INTEGER) AS year, CAST(sum(cnt) AS BIGINT) AS taps
+        FROM taps GROUP BY ALL""",
+    "incremental_features": f"""
+        WITH {BY_ORDER}, {FEATURES} SELECT station, {_rounded(fixed.FEATURES, 6)} FROM features""",
+    "approximate_price_index": f"""
+        WITH {TRADES} SELECT gu_code, CAST(date_trunc('month', contract_date) AS DATE) AS year_month, count(*) AS n_sales,
+               round(quantile_disc(price_per_m2, 0.5), 3) AS median_price_per_m2
+        FROM trades GROUP BY ALL""",
+    "sketch_errors": f"""
+        WITH {TRADES} SELECT gu_code, CAST(year(contract_date) AS INTEGER) AS year, count(*) AS n_sales,
+               count(DISTINCT complex) AS n_complexes, TRUE AS median_within, TRUE AS distinct_within
+        FROM trades GROUP BY ALL""",
 }

@@ -12,8 +12,8 @@ from tapflow.functions.arrays import number_text
 from tapflow.functions.numbers import millions
 from tapflow.functions.text import canonical_name, column_label, signed_percent
 from tapflow.operators import aggregates, clusters, distributions, features, kmeans, lookup, ordering
-from tapflow.operators import prices, reshape, scaling, silhouette
-from tapflow.plans import chart_tables as charts, snapshots
+from tapflow.operators import prices, reshape, scaling, silhouette, sketches, states
+from tapflow.plans import chart_tables as charts, incremental, snapshots
 from tapflow.sources import pages, tables
 from tapflow.staging import checkpointed, new_folder
 from workload import inputs
@@ -829,3 +829,82 @@ def snap_clusters(spark, sf):
 def snap_points(spark, sf):
     _, labels, plane = _labelled_points(spark, sf)
     return snapshots.cluster_points(labels, plane, USER_FOCUS)
+
+
+# Incremental stage tables
+
+
+@functools.lru_cache(maxsize=4)
+def _refreshed_states(spark, sf):
+    """States after two loads: half of the newest month's rows are missing in the first."""
+    long = inputs.taps_by_order(spark, sf)
+    newest = F.lit(long.agg(F.max("year_month")).first()[0])
+    path, folder = new_folder(spark, "tapflow-long"), new_folder(spark, "tapflow-states")
+    first = long.where((F.col("year_month") != newest) | (F.col("hour") % 2 == 0))
+    tables.write_stage(first, path, partition_by=["year_month"], sort_by=["station", "hour"])
+    incremental.refresh(spark, path, folder)
+    long.where(F.col("year_month") == newest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year_month").parquet(path)
+    incremental.refresh(spark, path, folder)
+    return folder
+
+
+@query
+def incremental_hour_totals(spark, sf):
+    """Taps by station and hour from monthly states, the newest month counted again."""
+    return states.hour_totals_of(incremental.current_states(spark, _refreshed_states(spark, sf)))
+
+
+@query
+def incremental_hour_means(spark, sf):
+    """Mean and deviation of counts by station, hour and direction from monthly states."""
+    found = states.hour_direction_mean_of(incremental.current_states(spark, _refreshed_states(spark, sf)))
+    return rounded(found, 3, "mean_count", "std_count")
+
+
+@query
+def incremental_annual_totals(spark, sf):
+    """Taps by station and year from monthly states."""
+    return states.annual_totals_of(incremental.current_states(spark, _refreshed_states(spark, sf)))
+
+
+@query
+def incremental_features(spark, sf):
+    """The six features from monthly states instead of facts."""
+    long = states.states_as_long(incremental.current_states(spark, _refreshed_states(spark, sf)))
+    return rounded(features.station_features(long), 6, *fixed.FEATURES)
+
+
+# Sketches
+
+
+@functools.lru_cache(maxsize=4)
+def _stored_sketches(spark, sf):
+    path = new_folder(spark, "tapflow-sketches")
+    tables.write_stage(sketches.price_sketches(inputs.trades(spark, sf)), path, partition_by=["year_month"])
+    return path
+
+
+@query
+def approximate_price_index(spark, sf):
+    """Median price by region and month from stored sketches; exact up to 2048 sales a month."""
+    found = sketches.approximate_prices(tables.read_stage(spark, _stored_sketches(spark, sf)))
+    return rounded(found.select("gu_code", "year_month", "n_sales", "median_price_per_m2"), 3, "median_price_per_m2")
+
+
+@query
+def sketch_errors(spark, sf):
+    """Sketches merged by region and year against all sales: whether the median's rank and the number
+    of buildings are within three times their errors."""
+    stored = tables.read_stage(spark, _stored_sketches(spark, sf)).withColumn("year", F.year("year_month"))
+    guessed = sketches.approximate_prices(sketches.merged_sketches(stored, "gu_code", "year"))
+    sales = inputs.trades(spark, sf).select("gu_code", F.year("contract_date").alias("year"), "price_per_m2", "complex")
+    price, guess = F.col("price_per_m2"), F.col("median_price_per_m2")
+    held = sales.join(guessed.select("gu_code", "year", "median_price_per_m2", "n_complexes"), ["gu_code", "year"]).groupBy("gu_code", "year").agg(
+        F.count("*").alias("n_sales"), F.count_distinct("complex").alias("n_complexes"), F.max("n_complexes").alias("about"),
+        (F.count_if(price < guess) / F.count("*")).alias("below"), (F.count_if(price <= guess) / F.count("*")).alias("upto"),
+    )
+    off = F.greatest(F.col("below") - 0.5, F.lit(0.5) - F.col("upto"), F.lit(0.0))
+    return held.select(
+        "gu_code", "year", "n_sales", "n_complexes", (off <= 3 * sketches.rank_error()).alias("median_within"),
+        (F.abs(F.col("about") - F.col("n_complexes")) <= 3 * sketches.distinct_error() * F.col("n_complexes")).alias("distinct_within"),
+    )
