@@ -15,11 +15,11 @@ from tapflow.operators.features import complete_features
 from tapflow.operators.kmeans import best_runs, with_assignments
 from tapflow.operators.ordering import average_rank, dedupe_names
 from tapflow.operators.scaling import StandardScaler, fit_standard
-from tapflow.operators.silhouette import centroid_silhouette, mean_silhouette
+from tapflow.operators.silhouette import centroid_silhouette, mean_moments_silhouette, mean_silhouette
 from tapflow.staging import checkpointed
 
 
-SCORES = ("exact", "centroid")
+SCORES = ("exact", "centroid", "moments")
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,8 @@ def choose_k_and_cluster(features: DataFrame, k_range: tuple[int, int] = (2, 8),
     """Standardise, sweep k (inclusive), keep the k of the best silhouette, name the clusters.
 
     ``score`` names the silhouette: ``exact`` compares all points with each other and is
-    quadratic in the number of stations; ``centroid`` compares points with the centres and
-    is linear. A chosen k whose run did not settle within ``max_passes`` stops the job.
+    quadratic in the number of stations; ``moments`` is exact for squared distances and
+    linear; ``centroid`` compares points with the centres and is linear. A chosen k whose run did not settle within ``max_passes`` stops the job.
 
     Features are one row per station: they are written to the checkpoint folder, so the
     passes and a lost executor never go back to the facts. Clusters are numbered by
@@ -117,6 +117,8 @@ def choose_k_and_cluster(features: DataFrame, k_range: tuple[int, int] = (2, 8),
     )
     if score == "exact":
         means = mean_silhouette(assigned, "station", "point", list(names_of.values()))
+    elif score == "moments":
+        means = mean_moments_silhouette(assigned, "point", list(names_of.values()))
     else:
         means = centroid_silhouette(assigned, "point", {names_of[k]: dict(enumerate(best[k].centers.tolist())) for k in ks})
     scores = {row["assignment"]: row["silhouette"] for row in means.collect()}  # one row per k

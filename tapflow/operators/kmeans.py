@@ -3,7 +3,9 @@
 Spark ML's KMeans has no number of starts, so a sweep would scan the points once per k,
 start and iteration. Here every pass serves all runs: tasks add up their partition's
 points per run and cluster, Spark sums these small rows, and only centres (at most
-runs × k rows) reach the driver.
+runs × k rows) reach the driver. Runs start near their end: a few rounds draw far more
+candidates than centres, one pass weighs them by the points they stand for, and every run
+is settled on the weighted candidates before it sees the points.
 """
 
 from __future__ import annotations
@@ -22,6 +24,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+# Rounds in which candidate centres are drawn.
+ROUNDS = 3
+
+
 @dataclass
 class Run:
     """One start for one k: its centres, cluster sizes and cost, and how it came to rest."""
@@ -57,38 +63,72 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return values.reshape(batch.num_rows, -1)
 
 
-def _draw(points: DataFrame, runs: list[Run], seed: int, turn: int) -> None:
-    """Add one centre to each run: a point drawn with the odds of its squared distance.
+def _drawn(points: DataFrame, centers: np.ndarray, n: int, salt: int) -> np.ndarray:
+    """``n`` points drawn with the odds of their squared distance to the nearest centre.
 
-    Each point gets an exponential time with that rate and the earliest wins, so a draw
-    is a minimum, and the same points give the same draw wherever they lie. A task
-    returns its earliest point of each run.
+    Each point gets an exponential time with that rate and the earliest win, so a draw is a
+    choice of minima, and the same points give the same draw wherever they lie. A task
+    returns its ``n`` earliest points. Points on a centre are not drawn.
     """
-    starts = [(index, seed + run.start, run.centers) for index, run in enumerate(runs)]
-
     def earliest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, tuple[float, list[float]]] = {}
+        times, rows = np.zeros(0), None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own, keys = _matrix(batch), batch.column("code").to_numpy()
-            for index, salt, centers in starts:
-                weight = _squares(own, centers).min(axis=1) if len(centers) else np.ones(len(own))
-                with np.errstate(divide="ignore"):
-                    times = -np.log(_uniform(keys, salt * 1009 + turn)) / weight
-                place = int(np.argmin(times))
-                drawn = (float(times[place]), own[place].tolist())
-                found[index] = min(found.get(index, drawn), drawn)
-        if found:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(list(found), pa.int32()), pa.array([x[0] for x in found.values()]), pa.array([x[1] for x in found.values()]),
-            ], ["run", "time", "point"])
-
-    drawn = points.select("code", "point").mapInArrow(earliest, "run int, time double, point array<double>")
-    first = drawn.groupBy("run").agg(F.min_by("point", F.struct("time", "point")).alias("point"))
-    for row in first.collect():  # one row per run
-        run = runs[row["run"]]
-        run.centers = np.vstack([run.centers, row["point"]])
+            own = _matrix(batch)
+            weight = _squares(own, centers).min(axis=1) if len(centers) else np.ones(len(own))
+            with np.errstate(divide="ignore"):
+                found = -np.log(_uniform(batch.column("code").to_numpy(), salt)) / weight
+            times = np.concatenate([times, found])
+            rows = own if rows is None else np.concatenate([rows, own])
+            kept = np.argsort(times, kind="stable")[:n]
+            times, rows = times[kept], rows[kept]
+        last = np.isfinite(times).sum()
+        if last:
+            yield pa.RecordBatch.from_arrays([pa.array(times[:last]), pa.array(rows[:last].tolist(), pa.list_(pa.float64()))], ["time", "point"])
+
+    found = points.select("code", "point").mapInArrow(earliest, "time double, point array<double>").orderBy("time", "point").limit(n)
+    return np.array([row["point"] for row in found.collect()]).reshape(-1, centers.shape[1])
+
+
+def candidates(points: DataFrame, width: int, n: int, seed: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate centres and how many points lie nearest to each.
+
+    After a first point, each round draws ``8 * n`` points (32 at least) by their distance to
+    all candidates so far. Rounds go on until ``n`` candidates differ.
+    """
+    found = _drawn(points, np.empty((0, width)), 1, seed * 1009)
+    turn = 0
+    while turn < rounds or len(np.unique(found, axis=0)) < n:
+        turn += 1
+        more = _drawn(points, found, max(32, 8 * n), seed * 1009 + turn)
+        if not len(more):
+            break
+        found = np.unique(np.concatenate([found, more]), axis=0)
+    run = Run(len(found), 0, found)
+    sums = _sums(points, [run])
+    return found, _spread(sums, run, 0)[0]
+
+
+def _settled_start(found: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Centres of ``k`` clusters of the weighted candidates, drawn by distance and moved until they rest."""
+    draw = np.random.default_rng(seed)
+    centers = found[[draw.choice(len(found), p=weights / weights.sum())]]
+    while len(centers) < k:
+        odds = weights * _squares(found, centers).min(axis=1)
+        odds = odds if odds.sum() > 0 else _squares(found, centers).min(axis=1) + 1e-300
+        centers = np.vstack([centers, found[draw.choice(len(found), p=odds / odds.sum())]])
+    for _ in range(100):
+        nearest = _squares(found, centers).argmin(axis=1)
+        size = np.bincount(nearest, weights, k)
+        moved = centers.copy()
+        for axis in range(found.shape[1]):
+            total = np.bincount(nearest, weights * found[:, axis], k)
+            moved[size > 0, axis] = total[size > 0] / size[size > 0]
+        if (moved == centers).all():
+            break
+        centers = moved
+    return centers
 
 
 def _sums(points: DataFrame, runs: list[Run]) -> pd.DataFrame:
@@ -170,9 +210,8 @@ def best_runs(points: DataFrame, width: int, ks: list[int], starts: int, seed: i
     ``max_passes``, which ``passes`` and ``converged`` of a run tell; an emptied cluster
     keeps its centre.
     """
-    runs = [Run(k, start, np.empty((0, width))) for k in ks for start in range(starts)]
-    for turn in range(max(ks)):
-        _draw(points, [run for run in runs if len(run.centers) < run.k], seed, turn)
+    found, weights = candidates(points, width, max(ks), seed)
+    runs = [Run(k, start, _settled_start(found, weights, k, seed + start)) for k in ks for start in range(starts)]
     _settle(points, runs, max_passes, tolerance)
     best: dict[int, Run] = {}
     for run in runs:

@@ -1,12 +1,14 @@
-"""Exact Euclidean silhouette and WCSS of given assignments."""
+"""Silhouettes and WCSS of given assignments: over all pairs, by cluster moments, by centres."""
 
 from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -122,3 +124,128 @@ def mean_silhouette(points: DataFrame, key: str, vector: str, labels: list[str])
     return scored.groupBy("assignment").agg(
         F.avg("silhouette").alias("silhouette"), F.count("*").alias("n_points")
     )
+
+
+# Values of cluster means that the tasks of the moments silhouette are sent at most.
+MOMENT_VALUES = 4_000_000
+
+
+def cluster_moments(points: DataFrame, vector: str, labels: list[str]) -> DataFrame:
+    """Count, coordinate sums and sum of squared lengths of each cluster of several assignments.
+
+    assignment, cluster, n, sums (array), squares; one pass, added up task by task. Rows
+    without a vector or without the label are left out. All vectors have one width.
+    """
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], list] = {}
+        for batch in batches:
+            vectors, valid = _rows(batch)
+            for at, label in enumerate(labels, 1):
+                codes, number, mine = _codes(batch.column(at), valid)
+                own = vectors[mine[valid]]
+                sums = np.zeros((len(codes), vectors.shape[1]))
+                np.add.at(sums, number, own)
+                sizes = np.bincount(number, minlength=len(codes))
+                squares = np.bincount(number, (own ** 2).sum(axis=1), len(codes))
+                for i, code in enumerate(codes):
+                    n, total, square = held.get((label, code), (0, 0.0, 0.0))
+                    held[label, code] = [n + int(sizes[i]), total + sums[i], square + float(squares[i])]
+        if held:
+            keys, values = list(held), list(held.values())
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x[0] for x in keys]), pa.array([x[1] for x in keys]), pa.array([x[0] for x in values], pa.int64()),
+                pa.array([x[1].tolist() for x in values], pa.list_(pa.float64())), pa.array([x[2] for x in values]),
+            ], ["assignment", "cluster", "n", "sums", "squares"])
+
+    parts = _labelled(points, vector, labels).mapInArrow(add, "assignment string, cluster string, n long, sums array<double>, squares double")
+    keys = ["assignment", "cluster"]
+    axes = parts.select(*keys, "n", "squares", F.posexplode("sums").alias("axis", "x")).groupBy(*keys, "axis").agg(
+        F.sum("n").alias("n"), F.sum("squares").alias("squares"), F.sum("x").alias("x")
+    )
+    return axes.groupBy(*keys).agg(
+        F.max("n").alias("n"), F.transform(F.sort_array(F.collect_list(F.struct("axis", "x"))), lambda c: c["x"]).alias("sums"),
+        F.max_by("squares", "axis").alias("squares"),
+    )
+
+
+def moments_silhouette(points: DataFrame, vector: str, labels: list[str]) -> DataFrame:
+    """Silhouette by squared Euclidean distances, exact and linear in the points.
+
+    The squared distances of a point x to all n points of a cluster add up to
+    n |x|² - 2 x Σy + Σ|y|², so the cluster's moments stand for its points. Result:
+    assignment, cluster, n_points, silhouette (the mean over the cluster), NULL with fewer
+    than two clusters. A cluster of one scores 0. The moments of all clusters go to every
+    task; beyond ``MOMENT_VALUES`` values this stops rather than send more.
+    """
+    center = points.select(F.posexplode(F.col(vector).cast("array<double>")).alias("axis", "x")).groupBy("axis").agg(F.avg("x").alias("x"))
+    middle = np.array([row["x"] for row in center.orderBy("axis").collect()])  # one row per coordinate
+    # distances don't change when all points move; about their middle, squares lose no digits
+    moved = points.withColumn("_moved", F.zip_with(F.col(vector).cast("array<double>"), F.lit(middle.tolist()), lambda x, m: x - m))
+    found = cluster_moments(moved, "_moved", labels).limit(MOMENT_VALUES // max(1, len(middle)) + 1).collect()
+    if len(found) * len(middle) > MOMENT_VALUES:
+        raise ValueError("too many clusters to hold their moments in every task")
+    held = {label: sorted((row["cluster"], row["n"], row["sums"], row["squares"]) for row in found if row["assignment"] == label) for label in labels}
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {label: (
+            np.array([x[0] for x in rows], dtype=object), np.array([x[1] for x in rows], float),
+            np.array([x[2] for x in rows]).reshape(len(rows), -1), np.array([x[3] for x in rows]),
+        ) for label, rows in held.items()}
+        total = {label: np.zeros((2, len(rows))) for label, rows in held.items()}
+        for batch in batches:
+            vectors, valid = _rows(batch)
+            for at, label in enumerate(labels, 1):
+                clusters, n, sums, squares = known[label]
+                if not len(clusters):
+                    continue
+                codes, number, mine = _codes(batch.column(at), valid)
+                place = np.searchsorted(clusters, codes)[number]
+                own = vectors[mine[valid]]
+                apart = np.maximum(n * (own ** 2).sum(axis=1)[:, None] - 2 * own @ sums.T + squares, 0)
+                every = np.arange(len(own))
+                inside = apart[every, place] / np.maximum(n[place] - 1, 1)
+                means = apart / n
+                means[every, place] = np.inf
+                outside = means.min(axis=1)
+                larger = np.maximum(inside, outside)
+                value = np.divide(outside - inside, larger, out=np.zeros(len(own)), where=(larger > 0) & np.isfinite(outside))
+                value[n[place] == 1] = 0
+                total[label][0] += np.bincount(place, minlength=len(clusters))
+                total[label][1] += np.bincount(place, value, len(clusters))
+        for label, (count, added) in total.items():
+            clusters = known[label][0]
+            if count.any():
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([label] * len(clusters)), pa.array(clusters.tolist()), pa.array(count.astype(np.int64)), pa.array(added),
+                ], ["assignment", "cluster", "n", "total"])
+
+    sums = _labelled(moved, "_moved", labels).mapInArrow(score, "assignment string, cluster string, n long, total double")
+    several = [label for label, rows in held.items() if len(rows) > 1]
+    mean = F.when(F.col("assignment").isin(several), F.sum("total") / F.sum("n"))
+    return sums.groupBy("assignment", "cluster").agg(F.sum("n").alias("n_points"), mean.alias("silhouette"))
+
+
+def mean_moments_silhouette(points: DataFrame, vector: str, labels: list[str]) -> DataFrame:
+    """Mean squared-Euclidean silhouette of each assignment: assignment, silhouette, n_points."""
+    by_cluster = moments_silhouette(points, vector, labels)
+    return by_cluster.groupBy("assignment").agg(
+        (F.sum(F.col("silhouette") * F.col("n_points")) / F.sum("n_points")).alias("silhouette"), F.sum("n_points").alias("n_points")
+    )
+
+
+def _labelled(points: DataFrame, vector: str, labels: list[str]) -> DataFrame:
+    return points.select(F.col(vector).cast("array<double>").alias("vector"), *[F.col(label).cast("string").alias(f"label_{i}") for i, label in enumerate(labels)])
+
+
+def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors of a batch that are there, one a row, and which rows have one."""
+    valid = np.asarray(batch.column(0).is_valid())
+    values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(int(valid.sum()), -1), valid
+
+
+def _codes(column: pa.Array, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct labels, the number of each row's, and the rows that have a label and a vector."""
+    mine = np.asarray(column.is_valid()) & valid
+    codes, number = np.unique(column.filter(pa.array(mine)).to_numpy(zero_copy_only=False).astype(object), return_inverse=True)
+    return codes, number, mine

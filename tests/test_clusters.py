@@ -238,3 +238,68 @@ def test_pipeline_writes_every_stage(spark, sf_dir, tmp_path):
     }
     assert sorted(bundles) == ["A", "B", "C", "D", "E", "F", "F_ks", "G", "I", "J", "K", "M", "N", "O"]
     assert bundles["F_ks"].count() == 1 and bundles["B"].count() > 0 and bundles["O"].count() % 24 == 0
+
+
+def _squared_by_hand(vectors, labels):
+    """Silhouette by squared distances of each point, by the definition."""
+    out = []
+    for i, x in enumerate(vectors):
+        gaps = {}
+        for j, y in enumerate(vectors):
+            if i != j and labels[i] is not None and labels[j] is not None:
+                gaps.setdefault(labels[j], []).append(sum((p - q) ** 2 for p, q in zip(x, y)))
+        others = [np.mean(v) for k, v in gaps.items() if k != labels[i]]
+        if labels[i] is None:
+            continue
+        if not others:
+            out.append((labels[i], None))
+        elif labels[i] not in gaps:
+            out.append((labels[i], 0.0))
+        else:
+            a, b = np.mean(gaps[labels[i]]), min(others)
+            out.append((labels[i], (b - a) / max(a, b) if max(a, b) else 0.0))
+    return out
+
+
+def test_moments_silhouette_equals_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    vectors = np.concatenate([rng.normal(0, 1, (40, 3)), rng.normal(4, 1, (30, 3)), np.full((5, 3), 9.0), [[1e6, 1e6, 1e6]]]) + 1e5
+    labels = ["a"] * 40 + ["b"] * 28 + [None, None] + ["c"] * 5 + ["far"]
+    rows = [(i, v.tolist(), x, "one") for i, (v, x) in enumerate(zip(vectors, labels))] + [(99, None, "a", "one")]
+    points = spark.createDataFrame(rows, "id int, v array<double>, x string, same string").repartition(4)
+    expected = {}
+    for label, value in _squared_by_hand(vectors.tolist(), labels):
+        expected.setdefault(label, []).append(value)
+    found = {(r.assignment, r.cluster): r for r in silhouette.moments_silhouette(points, "v", ["x", "same"]).collect()}
+    assert found["same", "one"].silhouette is None and found["same", "one"].n_points == len(vectors)
+    for label, values in expected.items():
+        assert found["x", label].n_points == len(values)
+        assert found["x", label].silhouette == pytest.approx(np.mean(values), abs=1e-6)
+    mean = {r.assignment: r for r in silhouette.mean_moments_silhouette(points, "v", ["x", "same"]).collect()}
+    assert mean["x"].silhouette == pytest.approx(np.mean([v for x in expected.values() for v in x]), abs=1e-6) and mean["same"].silhouette is None
+    assert silhouette.moments_silhouette(points.limit(0), "v", ["x"]).count() == 0
+
+
+def test_candidates_stand_for_all_points_and_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(4)
+    far = np.array([[0.0, 0.0], [50.0, 0.0], [0.0, 50.0], [50.0, 50.0]])
+    rows = [(int(i), (far[i % 4] + rng.normal(0, 0.1, 2)).tolist()) for i in range(800)] + [(10_000 + i, [500.0, 500.0]) for i in range(400)]
+    points = spark.createDataFrame(rows, "code long, point array<double>")
+    one = kmeans.candidates(points.coalesce(1), 2, 5, 42)
+    many = kmeans.candidates(points.repartition(7), 2, 5, 42)
+    assert np.array_equal(one[0], many[0]) and np.array_equal(one[1], many[1])
+    assert one[1].sum() == 1200 and len(np.unique(one[0], axis=0)) == len(one[0])
+    best = kmeans.best_runs(points, 2, [4, 5], 3, 42)
+    assert best[5].converged and best[5].cost < 800 * 0.1 and best[5].passes <= 3
+    assert sorted(best[5].sizes.tolist()) == [200, 200, 200, 200, 400]
+
+
+def test_candidates_of_few_distinct_points(spark):
+    rows = [(i, [float(i % 3), 0.0]) for i in range(90)]
+    found, weights = kmeans.candidates(spark.createDataFrame(rows, "code long, point array<double>"), 2, 8, 1)
+    assert found.tolist() == [[0.0, 0.0], [1.0, 0.0], [2.0, 0.0]] and weights.tolist() == [30, 30, 30]
+
+
+def test_moments_score_chooses_k(spark, sf_dir):
+    found = clusters.choose_k_and_cluster(inputs.features_by_user(spark, sf_dir), (2, 3), 2, 42, score="moments")
+    assert found.k in (2, 3) and found.labels.count() == found.scaled.count()

@@ -497,6 +497,18 @@ ORACLES: dict[str, str] = {
         SELECT CAST(own AS VARCHAR) AS cluster, count(*) AS n_points,
                round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) + 0.0 AS silhouette
         FROM ab GROUP BY own""",
+    "moments_silhouette_given": """
+        WITH p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[64]) AS v FROM embeddings),
+        sizes AS (SELECT label, count(*) AS n FROM p GROUP BY label),
+        sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(array_distance(a.v, b.v) ** 2) AS total
+                 FROM p a CROSS JOIN p b GROUP BY ALL),
+        means AS (SELECT vec_id, own, other, CASE WHEN own = other THEN total / nullif(n - 1, 0) ELSE total / n END AS m
+                  FROM sums JOIN sizes ON sizes.label = sums.other),
+        ab AS (SELECT vec_id, own, max(m) FILTER (WHERE own = other) AS a, min(m) FILTER (WHERE own <> other) AS b
+               FROM means GROUP BY ALL)
+        SELECT CAST(own AS VARCHAR) AS cluster, count(*) AS n_points,
+               round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) + 0.0 AS silhouette
+        FROM ab GROUP BY own""",
     "centroid_silhouette_given": """
         WITH p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[64]) AS v FROM embeddings),
         cells AS (SELECT label, unnest(range(1, 65)) AS axis, unnest(v) AS x FROM p),

@@ -526,6 +526,13 @@ def centroid_silhouette_given(spark, sf):
     return rounded(silhouette.centroid_silhouette(points, "point", {"label": centers}), 6, "silhouette")
 
 
+@query
+def moments_silhouette_given(spark, sf):
+    """Squared-Euclidean silhouette of the given labels from cluster moments."""
+    found = silhouette.moments_silhouette(table(spark, sf, "embeddings"), "embedding", ["label"])
+    return rounded(found.select("cluster", "n_points", "silhouette"), 6, "silhouette")
+
+
 def _scaled_points(spark, sf):
     """Complete features, their scaler, and points with station and code."""
     complete, _ = features.complete_features(inputs.features_by_user(spark, sf))
