@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tapflow.functions.numbers import ratio_or_zero
 from tapflow.operators.reshape import hour_profile, slot_total, slots
+from tapflow.operators.running import running_sums
+
 
 def hour_samples(long: DataFrame) -> DataFrame:
     """One row per station with its sample: the 24 hourly shares, all 0 without taps."""
@@ -28,13 +30,19 @@ def ecdf(samples: DataFrame) -> DataFrame:
 def ks_exact_p(distance_steps: Column, n: Column) -> Column:
     """Two-sided exact p-value for two samples of size ``n`` whose distributions are at
     most ``distance_steps / n`` apart: 2 Σ (−1)^(j−1) C(2n, n − j·d) / C(2n, n)."""
-    def term(j: Column) -> Column:
-        steps = F.sequence(F.lit(1), j * distance_steps)
-        size = F.aggregate(steps, F.lit(1.0), lambda acc, i: acc * (n - i + 1) / (n + i))
-        return F.when(j % 2 == 1, size).otherwise(-size)
-
-    turns = F.sequence(F.lit(1), F.floor(n / F.greatest(distance_steps, F.lit(1))).cast("int"))
-    series = F.aggregate(turns, F.lit(0.0), lambda acc, j: acc + term(j)) * 2
+    d = F.greatest(distance_steps.cast("long"), F.lit(1))
+    # Each factor is built from the last. Terms fall as exp(-(j·d)² / n): beyond 6.5·√n they
+    # are under 1e-18 of the first.
+    last = F.least(n.cast("long"), F.greatest(d, F.ceil(F.sqrt(n.cast("double")) * 6.5)))
+    size = "size"
+
+    def step(state: Column, i: Column) -> Column:
+        now = state[size] * (n - i + 1) / (n + i)
+        sign = F.when(F.floor(i / d) % 2 == 1, 1.0).otherwise(-1.0)
+        return F.struct(now.alias(size), (state["total"] + F.when(i % d == 0, sign * now).otherwise(0.0)).alias("total"))
+
+    start = F.struct(F.lit(1.0).alias(size), F.lit(0.0).alias("total"))
+    series = F.aggregate(F.sequence(F.lit(1).cast("long"), last), start, step)["total"] * 2
     return F.when(distance_steps <= 0, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
@@ -105,10 +113,44 @@ def ks_two_sample(samples: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def ks_large(samples: DataFrame, pairs: DataFrame) -> DataFrame:
+    """As ``ks_two_sample`` for samples of any size in long form (station, value).
+
+    Equal values of a sample are counted first. The merged values of a pair are range-sorted
+    and both counts run up to each value, with offsets for earlier ranges; the largest gap of
+    whole numbers wins, the first value on ties. No sample is ever in one row or one task.
+    Missing and NaN values are left out; a pair with an empty sample has no row; a station's
+    values are repeated for each pair that names it.
+    """
+    usable = F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")) & F.col("station").isNotNull()
+    counted = samples.where(usable).groupBy("station", "value").agg(F.count("*").alias("n"))
+    named = pairs.select("station_a", "station_b").distinct()
+
+    def of(side: str) -> DataFrame:
+        both = named.join(counted.withColumnRenamed("station", f"station_{side}"), f"station_{side}")
+        return both.select(
+            "station_a", "station_b", "value", *[(F.col("n") if x == side else F.lit(0).cast("long")).alias(f"in_{x}") for x in "ab"]
+        )
+
+    keys = ["station_a", "station_b"]
+    merged = of("a").unionByName(of("b")).groupBy(*keys, "value").agg(F.sum("in_a").alias("in_a"), F.sum("in_b").alias("in_b"))
+    running = running_sums(merged, keys, ["value"], ["in_a", "in_b"])
+    sizes = running.groupBy(*keys).agg(F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b")).where("n_a > 0 AND n_b > 0")
+    wide = {x: F.col(x).cast("decimal(19,0)") for x in ("upto_in_a", "upto_in_b", "n_a", "n_b")}
+    gap = F.abs(wide["upto_in_a"] * wide["n_b"] - wide["upto_in_b"] * wide["n_a"]).cast("decimal(38,0)")
+    at = F.struct(gap.alias("gap"), (-F.col("value")).alias("minus_value"), "upto_in_a", "upto_in_b")
+    best = running.join(sizes, keys).groupBy(*keys, "n_a", "n_b").agg(F.max(at).alias("at"))
+    return best.select(
+        *keys, (F.col("at.gap").cast("double") / F.col("n_a") / F.col("n_b")).alias("ks"), (-F.col("at.minus_value")).alias("at_share"),
+        (F.col("at.upto_in_a") / F.col("n_a")).alias("cdf_a"), (F.col("at.upto_in_b") / F.col("n_b")).alias("cdf_b"),
+        F.col("at.gap").alias("gap"), "n_a", "n_b",
+    )
+
+
 def ks_p_values(results: DataFrame) -> DataFrame:
     """Add the limit p-value, and the exact one where both samples are equally large."""
     equal = F.col("n_a") == F.col("n_b")
-    steps = F.expr("CAST(gap DIV n_a AS INT)")
+    steps = F.expr("CAST(gap DIV n_a AS BIGINT)")
     return results.withColumns({
         "p_exact": F.when(equal, ks_exact_p(steps, F.col("n_a"))),
         "p_limit": ks_asymptotic_p(F.col("ks"), F.col("n_a"), F.col("n_b")),

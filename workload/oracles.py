@@ -689,4 +689,32 @@ ORACLES: dict[str, str] = {
         WITH {TRADES} SELECT gu_code, CAST(year(contract_date) AS INTEGER) AS year, count(*) AS n_sales,
                count(DISTINCT complex) AS n_complexes, TRUE AS median_within, TRUE AS distinct_within
         FROM trades GROUP BY ALL""",
+    "ks_large": """
+        WITH s AS (SELECT l_returnflag AS f, CAST(l_extendedprice AS DOUBLE) AS value FROM lineitem),
+        sizes AS (SELECT f, count(*) AS n FROM s GROUP BY f),
+        pairs AS (SELECT a.f AS a, b.f AS b, a.n AS n_a, b.n AS n_b FROM sizes a JOIN sizes b ON a.f < b.f),
+        points AS (SELECT a, b, n_a, n_b, value, count(*) FILTER (WHERE f = a) AS in_a, count(*) FILTER (WHERE f = b) AS in_b
+                   FROM pairs JOIN s ON f = a OR f = b GROUP BY ALL),
+        counted AS (SELECT *, sum(in_a) OVER w AS count_a, sum(in_b) OVER w AS count_b
+                    FROM points WINDOW w AS (PARTITION BY a, b ORDER BY value)),
+        best AS (SELECT *, abs(count_a * n_b - count_b * n_a) / CAST(n_a AS DOUBLE) / n_b AS ks FROM counted
+                 QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY abs(count_a * n_b - count_b * n_a) DESC, value) = 1),
+        scaled AS (SELECT *, ks * ks * n_a * n_b / (n_a + n_b) AS squared FROM best)
+        SELECT a AS station_a, b AS station_b, round(ks, 9) AS ks, value AS at_share, round(CAST(count_a AS DOUBLE) / n_a, 9) AS cdf_a,
+               round(CAST(count_b AS DOUBLE) / n_b, 9) AS cdf_b, n_a, n_b,
+               round(CASE WHEN squared >= 1 THEN (SELECT sum(CASE WHEN j.range % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j.range * j.range * squared))
+                                                  FROM range(1, 21) j)
+                     ELSE 1 - sqrt(2 * pi()) / sqrt(squared) * (
+                         SELECT sum(exp(-pow(2 * j.range - 1, 2) * pi() * pi() / (8 * squared))) FROM range(1, 21) j) END, 9) + 0.0 AS p_limit
+        FROM scaled""",
+    "average_rank_of_taps": f"""
+        WITH e AS (SELECT event_id, event_type, {TAP} AS taps FROM events)
+        SELECT event_id, event_type, taps,
+               rank() OVER (ORDER BY taps DESC) + (count(*) OVER (PARTITION BY taps) - 1) / 2.0 AS rank_down,
+               rank() OVER (PARTITION BY event_type ORDER BY taps) + (count(*) OVER (PARTITION BY event_type, taps) - 1) / 2.0 AS rank_up_in_type
+        FROM e""",
+    "growing_ids": f"""
+        WITH {BY_USER}, names AS (
+            SELECT station, CASE WHEN CAST(station AS BIGINT) % 3 = 0 THEN 1 ELSE 2 END AS load FROM (SELECT DISTINCT station FROM taps))
+        SELECT station, row_number() OVER (ORDER BY load, station) AS station_id, CAST(load AS BIGINT) AS load FROM names""",
 }

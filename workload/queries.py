@@ -12,8 +12,8 @@ from tapflow.functions.arrays import number_text
 from tapflow.functions.numbers import millions
 from tapflow.functions.text import canonical_name, column_label, signed_percent
 from tapflow.operators import aggregates, clusters, distributions, features, kmeans, lookup, ordering
-from tapflow.operators import prices, reshape, scaling, silhouette, sketches, states
-from tapflow.plans import chart_tables as charts, incremental, snapshots
+from tapflow.operators import prices, reshape, running, scaling, silhouette, sketches, states
+from tapflow.plans import chart_tables as charts, dictionary, incremental, snapshots
 from tapflow.sources import pages, tables
 from tapflow.staging import checkpointed, new_folder
 from workload import inputs
@@ -915,3 +915,35 @@ def sketch_errors(spark, sf):
         "gu_code", "year", "n_sales", "n_complexes", (off <= 3 * sketches.rank_error()).alias("median_within"),
         (F.abs(F.col("about") - F.col("n_complexes")) <= 3 * sketches.distinct_error() * F.col("n_complexes")).alias("distinct_within"),
     )
+
+
+# Orders over whole tables
+
+
+@query
+def ks_large(spark, sf):
+    """KS of the prices of all sales between return flags, by running counts over ranges."""
+    sales = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("station"), F.col("l_extendedprice").cast("double").alias("value"))
+    flags = sales.select("station").distinct()
+    pairs = flags.withColumnRenamed("station", "station_a").join(flags.withColumnRenamed("station", "station_b"), F.expr("station_a < station_b"))
+    found = distributions.ks_large(sales, pairs)
+    p_limit = distributions.ks_asymptotic_p(F.col("ks"), F.col("n_a"), F.col("n_b"))
+    return rounded(found.withColumn("p_limit", p_limit).drop("gap"), 9, "ks", "cdf_a", "cdf_b", "p_limit")
+
+
+@query
+def average_rank_of_taps(spark, sf):
+    """Average-tie rank of every event's taps among all events and among those of its type."""
+    events = table(spark, sf, "events").select("event_id", "event_type", F.floor("value").cast("bigint").alias("taps"))
+    ranked = running.with_average_rank(events, "taps", "rank_down")
+    return running.with_average_rank(ranked, "taps", "rank_up_in_type", ["event_type"], descending=False)
+
+
+@query
+def growing_ids(spark, sf):
+    """Ids of users after two loads, the second with all of them."""
+    folder = new_folder(spark, "tapflow-ids")
+    long = inputs.taps_by_user(spark, sf)
+    dictionary.extend_ids(long.where(F.col("station").cast("bigint") % 3 == 0), folder)
+    dictionary.extend_ids(long, folder)
+    return dictionary.stored_ids(spark, folder)
