@@ -22,6 +22,7 @@ from tapflow.operators.ordering import peak_hour
 from tapflow.operators.prices import price_changes, with_change
 from tapflow.operators.reshape import direction_pivot, with_share
 from tapflow.operators.scaling import min_max
+from tapflow.staging import written
 
 
 def named(df: DataFrame, focus: Focus) -> DataFrame:
@@ -173,7 +174,13 @@ def chart_o(long: DataFrame, labels: DataFrame, order: list[str] | None = None)
     return rows.withColumn("stack_top", F.sum("boardings").over(upto))
 
 
+def focus_rows(long: DataFrame, focus: Focus) -> DataFrame:
+    """The long rows of the focus stations, written once for all charts that draw only these."""
+    return written(focus.keep(long), "focus_rows")
+
+
 def section_4(long: DataFrame, daily: DataFrame, focus: Focus) -> dict[str, DataFrame]:
+    """``long`` may be the table or its focus rows, as for section 5."""
     return {"A": chart_a(long, daily, focus), "B": chart_b(long, focus)}
 
 

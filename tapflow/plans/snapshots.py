@@ -11,7 +11,7 @@ from tapflow import fixed
 from tapflow.dims import Focus
 from tapflow.functions.numbers import ratio_or_zero
 from tapflow.operators.aggregates import cluster_sizes, column_distinctiveness
-from tapflow.operators.clusters import choose_k_and_cluster, project_2d
+from tapflow.operators.clusters import Clustering, choose_k_and_cluster, project_2d
 from tapflow.operators.features import station_features
 from tapflow.operators.lookup import assign_station_id, station_ids
 from tapflow.operators.ordering import preview, top_columns
@@ -83,20 +83,27 @@ def build_stages(wide: DataFrame, focus: Focus, k_range: tuple[int, int] = (2, 8
                  starts: int = 10, seed: int = 42) -> list[Stage]:
     """Run the whole pipeline on a wide table and describe each stage.
 
-    The long table and the ranking are written once to the shared folder; ids, features,
-    previews and payloads read them from there.
+    The long table is written once to the shared folder; ids, features, previews and
+    payloads read it from there.
     """
     long = written(hourly_long(wide), "ridership_long")
-    ranked = written(column_distinctiveness(long), "ranked_columns")
     ids = written(station_ids(long), "station_ids")
+    # Ids join the feature rows, one per station, and not the facts.
+    features = assign_station_id(station_features(long), ids)
+    return described_stages(wide, long, ids, choose_k_and_cluster(features, k_range, starts, seed), focus)
+
+
+def described_stages(wide: DataFrame, long: DataFrame, ids: DataFrame, found: Clustering, focus: Focus) -> list[Stage]:
+    """Describe each stage from tables and a clustering that are there already.
+
+    Only the ranking of columns is computed, written once and used twice.
+    """
+    ranked = written(column_distinctiveness(long), "ranked_columns")
     n_rows = long.count()
 
     def identified(df: DataFrame) -> DataFrame:
         return assign_station_id(df, ids)
 
-    # Ids join the feature rows, one per station, and not the facts.
-    features = identified(station_features(long))
-    found = choose_k_and_cluster(features, k_range, starts, seed)
     plane = project_2d(found.scaled)
     points = cluster_points(found.labels, plane, focus)
     keys = ["year_month", "line", "station", "hour", "direction"]

@@ -217,6 +217,30 @@ def test_job_from_tables_to_snapshots(spark, sf_dir, tmp_path):
     assert (tmp_path / "out/stages/price_index.parquet").exists()
 
 
+def test_job_computes_once_and_writes_chart_tables(spark, sf_dir, tmp_path, monkeypatch):
+    for name, df in (("hourly", inputs.hourly_wide(spark, sf_dir)), ("daily", inputs.daily_raw(spark, sf_dir)),
+                     ("trades", inputs.trades_raw(spark, sf_dir))):
+        df.write.parquet(str(tmp_path / name))
+    argv = [x for name in ("hourly", "daily", "trades", "out") for x in (f"--{name}", str(tmp_path / name))]
+    argv += ["--k", "2", "3", "--starts", "1", "--charts"]
+    with pytest.raises(ValueError, match="two or more"):
+        job.main(spark, [*argv, "--focus", "Stop1=First stop"])
+    sweeps, melts = [], []
+    sweep, melt = ridership.choose_k_and_cluster, ridership.hourly_long
+    monkeypatch.setattr(ridership, "choose_k_and_cluster", lambda *a: sweeps.append(1) or sweep(*a))
+    monkeypatch.setattr(ridership, "hourly_long", lambda *a: melts.append(1) or melt(*a))
+    for name in ("choose_k_and_cluster", "hourly_long"):
+        monkeypatch.setattr(snapshots, name, lambda *a: pytest.fail("computed a second time"))
+    paths = job.main(spark, [*argv, "--focus", "Stop1=First stop", "--focus", "Stop2=Second stop"])
+    assert sweeps == melts == [1]
+    charted = {path.rsplit("/", 1)[1]: path for path in paths if "/charts/" in path}
+    assert sorted(charted) == ["A", "B", "C", "D", "E", "F", "F_ks", "G", "I", "J", "K", "M", "N", "O"]
+    long = spark.read.parquet(str(tmp_path / "out/stages/ridership_long.parquet"))
+    focus = dims.Focus({"Stop1": "First stop", "Stop2": "Second stop"})
+    assert spark.read.json(charted["B"]).count() == charts.chart_b(long, focus).count() == 48
+    assert spark.read.json(charted["F_ks"]).count() == 1
+
+
 def test_pipeline_writes_every_stage(spark, sf_dir, tmp_path):
     at, found = ridership.run(
         spark, inputs.hourly_wide(spark, sf_dir), inputs.daily_raw(spark, sf_dir),

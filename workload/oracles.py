@@ -717,4 +717,19 @@ ORACLES: dict[str, str] = {
         WITH {BY_USER}, names AS (
             SELECT station, CASE WHEN CAST(station AS BIGINT) % 3 = 0 THEN 1 ELSE 2 END AS load FROM (SELECT DISTINCT station FROM taps))
         SELECT station, row_number() OVER (ORDER BY load, station) AS station_id, CAST(load AS BIGINT) AS load FROM names""",
+    "landed_months": """
+        WITH placed AS (
+            SELECT strftime(o_orderdate, '%Y%m') AS month, o_orderkey, o_orderpriority,
+                   (row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y%m') ORDER BY o_orderkey) - 1) // 100 AS page
+            FROM orders),
+        pages AS (
+            SELECT month, page, count(*) AS n, sum(o_orderkey) AS keys, max(o_orderpriority) AS priority,
+                   (CAST(month AS BIGINT) + page) % 11 = 0 AS cut, (CAST(month AS BIGINT) + page) % 7 = 0 AS lost
+            FROM placed GROUP BY ALL),
+        totals AS (SELECT month, sum(n) AS total FROM pages GROUP BY month)
+        SELECT month, count(*) AS n_pages, count(*) FILTER (WHERE lost AND NOT cut) AS n_errors, count(*) FILTER (WHERE cut) AS n_unreadable,
+               CAST(max(CASE WHEN cut THEN 0 ELSE total END) AS BIGINT) AS promised, CAST(max(page) * 100 + 100 AS BIGINT) AS last_row,
+               CAST(coalesce(sum(n) FILTER (WHERE NOT cut AND NOT lost), 0) AS BIGINT) AS landed,
+               CAST(sum(keys) FILTER (WHERE NOT cut AND NOT lost) AS BIGINT) AS keys, max(priority) FILTER (WHERE NOT cut AND NOT lost) AS priority
+        FROM pages JOIN totals USING (month) WHERE month >= '199601' GROUP BY month""",
 }

@@ -14,7 +14,7 @@ from tapflow.functions.text import canonical_name, column_label, signed_percent
 from tapflow.operators import aggregates, clusters, distributions, features, kmeans, lookup, ordering
 from tapflow.operators import prices, reshape, running, scaling, silhouette, sketches, states
 from tapflow.plans import chart_tables as charts, dictionary, incremental, snapshots
-from tapflow.sources import pages, tables
+from tapflow.sources import landed, pages, tables
 from tapflow.staging import checkpointed, new_folder
 from workload import inputs
 from workload.inputs import FOCUS, table
@@ -947,3 +947,37 @@ def growing_ids(spark, sf):
     dictionary.extend_ids(long.where(F.col("station").cast("bigint") % 3 == 0), folder)
     dictionary.extend_ids(long, folder)
     return dictionary.stored_ids(spark, folder)
+
+
+# Landed pages
+
+
+@query
+def landed_months(spark, sf):
+    """Orders landed as pages of 100 rows, one page in seven with an error, one in eleven cut short;
+    pages, their status and records by month from 1996 on."""
+    orders = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyyMM").alias("month"), "o_orderkey", "o_orderpriority", "o_totalprice")
+    placed = orders.withColumn("place", F.row_number().over(Window.partitionBy("month").orderBy("o_orderkey")) - 1)
+    sizes = orders.groupBy("month").agg(F.count("*").alias("list_total_count"))
+    record = F.struct(F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").cast("string").alias("price"))
+    page = (F.col("place") / 100).cast("long")
+    grouped = placed.groupBy("month", page.alias("page")).agg(F.sort_array(F.collect_list(record)).alias("row")).join(sizes, "month")
+    number = F.col("month").cast("long") + F.col("page")
+    result = F.when(number % 7 == 0, F.struct(F.lit("ERROR-500").alias("CODE"), F.lit("lost").alias("MESSAGE"))).otherwise(
+        F.struct(F.lit(fixed.PAGE_OK).alias("CODE"), F.lit("fine").alias("MESSAGE"))
+    )
+    body = F.to_json(F.struct(F.struct("list_total_count", result.alias("RESULT"), "row").alias(fixed.PAGE_ENVELOPE)))
+    whole = F.when(number % 11 == 0, F.substring(body, 1, 40)).otherwise(body)
+    path = new_folder(spark, "tapflow-landed")
+    landed.land_pages(grouped.select("month", (F.col("page") * 100 + 1).alias("start_row"), (F.col("page") * 100 + 100).alias("end_row"), whole.alias("content")), path)
+
+    found = landed.read_landed(spark, path, first_month="199601")
+    about = found.groupBy("month").agg(
+        F.count("*").alias("n_pages"), F.count_if(F.col("code") == "ERROR-500").alias("n_errors"),
+        F.count_if(F.col("code") == landed.UNREADABLE).alias("n_unreadable"), F.max("total").alias("promised"),
+        F.max("end_row").alias("last_row"),
+    )
+    records = landed.landed_records(found, "key string, priority string, price string").groupBy("month").agg(
+        F.count("*").alias("landed"), F.sum(F.col("key").cast("long")).alias("keys"), F.max("priority").alias("priority")
+    )
+    return about.join(records, "month", "left").na.fill(0, ["landed"])
