@@ -67,8 +67,20 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(digits, start, step, lambda kept: kept["index"])
 
 
+def _text_cuts(df: DataFrame, name: str, most: int) -> list[str]:
+    """First value of each of ``most`` ranges of about as many rows, in the order of values.
+
+    Rows are counted by value before anything is ordered, so a hot value is one row.
+    """
+    counted = df.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("string").alias("value")).agg(F.count("*").alias("n"))
+    placed = in_global_order(counted, ["value"], "before", value="n")
+    total = placed.agg(F.sum("n")).first()[0] or 1
+    ranged = placed.groupBy(F.floor(F.col("before") * most / total).alias("range")).agg(F.min("value").alias("value"))
+    return sorted(row["value"] for row in ranged.collect())  # at most ``most`` rows
+
+
 def cells(df: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
-    """Cell number of each dimension: equal-depth ranges of numbers, hash buckets of anything else.
+    """Cell number of each dimension: ranges of about as many rows, in the order of its values.
 
     The cut points are a list of fixed length per dimension. Null is cell 0.
     """
@@ -86,7 +98,8 @@ def cells(df: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
             value = F.col(name).cast("double")
             cell = sum((F.when(value > cut, 1).otherwise(0) for cut in cuts[name]), F.lit(1))
         else:
-            cell = F.pmod(F.xxhash64(name), F.lit(most)).cast("int") + 1
+            value = F.col(name).cast("string")
+            cell = sum((F.when(value >= cut, 1).otherwise(0) for cut in _text_cuts(df, name, most)), F.lit(0))
         out.append(F.when(F.col(name).isNull(), 0).otherwise(cell).cast("int"))
     return out
 
@@ -98,14 +111,30 @@ def hilbert_shards(df: DataFrame, dims: list[str], shards: int, ties: list[str],
     order unique; rows equal in all of them are interchangeable), and cut into ``shards``
     runs, so a shard spans few cells and its ranges in every dimension are narrow enough to
     skip files. slot counts from 0 in each shard. A hot cell is cut like any other run.
-    Columns of ``df`` with one of the three names are replaced. An empty table stays empty;
-    with fewer rows than shards some shards have none.
+    Columns of ``df`` with one of the three names are replaced, all others stay whatever
+    their names. An empty table stays empty; with fewer rows than shards some have none.
     """
-    df = df.drop("curve_index", "shard", "slot", "_at", "_place", "_part", "_offset")
-    placed = in_global_order(
-        df.withColumn("curve_index", hilbert_index(cells(df, dims, bits), bits)), ["curve_index", *ties], "_at"
-    )
+    kept = [c for c in df.columns if c not in ("curve_index", "shard", "slot")]
+    order = [F.col(name).alias(f"tie_{i}") for i, name in enumerate(ties)]
+    packed = df.select(F.struct(*kept).alias("row"), hilbert_index(cells(df, dims, bits), bits).alias("curve_index"), *order)
+    placed = in_global_order(packed, ["curve_index", *(f"tie_{i}" for i in range(len(ties)))], "at")
     rows = placed.count()
-    shard = F.expr(f"_at * {shards} div {max(rows, 1)}")
+    shard = F.expr(f"at * {shards} div {max(rows, 1)}")
     first = F.expr(f"(shard * {rows} + {shards - 1}) div {shards}")
-    return placed.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("_at") - first).cast("long")).drop("_at")
+    return placed.withColumn("shard", shard.cast("int")).withColumn("slot", (F.col("at") - first).cast("long")).select(
+        "row.*", "curve_index", "shard", "slot"
+    )
+
+
+def write_shards(placed: DataFrame, path: str) -> None:
+    """Write placed rows with a folder per shard, in the order of slots."""
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def shard_ranges(placed: DataFrame, dims: list[str]) -> DataFrame:
+    """shard, n_rows, and for each dimension its smallest and largest value and number of nulls: what
+    a reader needs to pass over shards that a filter on any of the dimensions can't meet."""
+    asked = [F.count("*").alias("n_rows")]
+    for name in dims:
+        asked += [F.min(name).alias(f"min_{name}"), F.max(name).alias(f"max_{name}"), F.count_if(F.col(name).isNull()).alias(f"nulls_{name}")]
+    return placed.groupBy("shard").agg(*asked)

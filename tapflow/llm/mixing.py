@@ -190,19 +190,19 @@ def mixed_documents(docs: DataFrame, weights: list[float], share: float, most: f
     the drawn blocks, in order, joined by spaces. n_chars, where there is one, is counted anew.
     """
     placed, draws = mixed(docs, weights, share, most, block, carry=True, **more)
-    whole_row = F.first(F.struct(*docs.columns)).alias("row")
+    packed = "row"
+    while packed in docs.columns:
+        packed = f"_{packed}"
     # rows that agree in every column are interchangeable; the text is shuffled here, once
-    unique = docs.withColumns({f"_{i}": key for i, key in enumerate(_row_keys(docs))}).groupBy(
-        F.col("_0").alias("key_a"), F.col("_1").alias("key_b")
-    ).agg(whole_row)
+    unique = docs.select(F.struct(*docs.columns).alias(packed), *_row_keys(docs)).groupBy("key_a", "key_b").agg(F.first(packed).alias(packed))
     part = F.struct(F.col("first").alias("at"), (F.col("last") - F.col("first")).alias("n"))
     taken = draws.groupBy("number", "start", "pass").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.sum("last").alias("ends"), F.sum("first").alias("begins"))
     rows = placed.where("size > 0").join(taken, ["number", "start"]).join(unique, ["key_a", "key_b"])
-    found = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
+    found = F.regexp_extract_all(F.col(packed)["text"], F.lit(WORD), F.lit(0))
     some = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(found, (x["at"] + 1).cast("int"), x["n"].cast("int")))), " ")
     whole = F.col("ends") - F.col("begins") == F.col("size")
-    own = {c: F.col("row")[c] for c in docs.columns}
+    own = {c: F.col(packed)[c] for c in docs.columns}
     out = rows.select(*(value.alias(c) for c, value in own.items() if c not in ("text", "n_chars")), F.when(whole, own["text"]).otherwise(some).alias("text"))
     if "n_chars" in own:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.char_length(F.col("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

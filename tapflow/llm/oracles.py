@@ -13,7 +13,7 @@ WITH placed AS (
 ), speakers AS (
     SELECT DISTINCT conv_id, role AS speaker FROM placed WHERE role <> 'system'
 ), said AS (
-    SELECT p.conv_id, s.speaker, CAST(p.place // 256 AS BIGINT) AS part, p.place, p.role = s.speaker AS speaks,
+    SELECT p.conv_id, s.speaker, CAST(0 AS BIGINT) AS part, p.place, p.role = s.speaker AS speaks,
            '<|' || CASE WHEN p.role = s.speaker THEN 'assistant' WHEN p.role = 'system' THEN 'system'
                         ELSE 'user name=' || p.role END || '|>' || chr(10) AS head,
            p.content || chr(10) || '<|end|>' || chr(10) AS body

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tapflow.llm.order import in_global_order
 
@@ -10,7 +10,6 @@ from tapflow.llm.order import in_global_order
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 ASSISTANT, USER, SYSTEM = "assistant", "user", "system"
 NOBODY = "unknown"
-TURNS = 256
 
 
 def _head(speaks: Column, role: Column) -> Column:
@@ -20,14 +19,15 @@ def _head(speaks: Column, role: Column) -> Column:
     return F.concat(F.lit(OPEN), kind, F.lit(CLOSE))
 
 
-def rotated(turns: DataFrame, turns_per_part: int = TURNS) -> DataFrame:
+def rotated(turns: DataFrame, turns_per_part: int | None = None) -> DataFrame:
     """Render each dialogue once per participant, with that speaker as the assistant.
 
     All other participants are users by name; system turns stay system turns. The mask
     covers what the assistant says, its end marker included. Turns are ordered by turn,
-    role and text (nulls first), so ties and repeated rows keep a fixed place, and a
-    dialogue is rendered in parts of ``turns_per_part`` turns: however long it is, no row
-    or task gathers more. A null role is the participant ``unknown``, a null text is empty,
+    role and text (nulls first), so ties and repeated rows keep a fixed place. A dialogue is
+    one row per speaker, however long; where its text would outgrow a row (2 GB), ask for
+    parts of ``turns_per_part`` turns, each rendered by itself. Texts and names are taken as
+    they are: one that holds a marker such as ``<|end|>`` is not escaped. A null role is the participant ``unknown``, a null text is empty,
     rows without conv_id form one dialogue; a dialogue of system turns alone has no
     perspective and gives no rows.
 
@@ -43,22 +43,18 @@ def rotated(turns: DataFrame, turns_per_part: int = TURNS) -> DataFrame:
     seen = placed.join(begins, F.col("conv_id").eqNullSafe(F.col("of"))).join(speakers, F.col("conv_id").eqNullSafe(F.col("by")))
     place = F.col("at") - F.col("begin")
     speaks = F.col("role") == F.col("speaker")
-    said = seen.select(
-        "conv_id", "speaker", F.floor(place / turns_per_part).cast("long").alias("part"),
-        F.struct(
-            place.alias("place"), _head(speaks, F.col("role")).alias("head"),
-            F.concat("content", F.lit("\n" + END)).alias("body"), speaks.alias("speaks"),
+    part = F.lit(0) if turns_per_part is None else F.floor(place / turns_per_part)
+    head, body = _head(speaks, F.col("role")), F.concat("content", F.lit("\n" + END))
+    said = seen.select("conv_id", "speaker", part.cast("long").alias("part"), place.alias("place"), head.alias("head"), body.alias("body"), speaks.alias("speaks"))
+    upto = Window.partitionBy("conv_id", "part", "speaker").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.char_length("head") + F.char_length("body")).over(upto)
+    measured = said.withColumn("end", end).select(
+        "conv_id", "part", "speaker", F.struct(
+            "place", F.concat("head", "body").alias("text"),
+            F.when(F.col("speaks"), F.struct((F.col("end") - F.char_length("body")).alias("start"), "end")).alias("span"),
         ).alias("turn"),
     )
-    parts = said.groupBy("conv_id", "part", "speaker").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    text = F.array_join(F.transform("turns", lambda x: F.concat(x["head"], x["body"])), "")
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long>>").alias("mask"))
-
-    def further(kept: Column, x: Column) -> Column:
-        start = kept["at"] + F.char_length(x["head"])
-        end = start + F.char_length(x["body"])
-        span = F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["speaks"], F.concat(kept["mask"], span)).otherwise(kept["mask"]).alias("mask"))
-
-    mask = F.aggregate("turns", empty, further, lambda kept: kept["mask"])
+    parts = measured.groupBy("conv_id", "part", "speaker").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+    text = F.array_join(F.transform("turns", lambda x: x["text"]), "")
+    mask = F.filter(F.transform("turns", lambda x: x["span"]), lambda x: x.isNotNull())
     return parts.select("conv_id", "part", "speaker", F.size("turns").cast("long").alias("n_turns"), text.alias("text"), mask.alias("mask"))

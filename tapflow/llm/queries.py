@@ -55,7 +55,7 @@ def op4_string_tiling(spark, sf):
 @query
 def op5_perspectives(spark, sf):
     """Every conversation from the perspective of every participant."""
-    found = perspectives.rotated(table(spark, sf, "conversations"), turns_per_part=256)
+    found = perspectives.rotated(table(spark, sf, "conversations"))
     spans = F.transform("mask", lambda x: F.concat_ws("-", x["start"], x["end"]))
     return found.withColumn("mask", F.array_join(spans, ","))
 

@@ -16,8 +16,10 @@ from tapflow.llm.text import chunks, laid_out, prefix, spans, window_hashes, wor
 SHORTEST = 5
 # Share of an item's words that tiles must cover.
 COVERED = 0.5
-# Seeds that tasks may hold at once (8 bytes each); more are joined instead.
-HELD_SEEDS = 2_000_000
+# Bits of the seed filter for each seed, and at most (16 MB); a fuller filter only passes more.
+SEED_BITS = 16
+MOST_BITS = 1 << 27
+PIECE_BITS = 1 << 16
 
 # Anything but letters, digits and bytes of longer characters parts words.
 _APART = np.ones(256, bool)
@@ -99,45 +101,53 @@ def _matches(text, item, of_text, of_item, free_text, free_item, length: int) ->
     return found
 
 
-def seeds_of(rows: DataFrame, key: str, shortest: int) -> DataFrame:
-    """(key, seed): distinct hashes of every ``shortest`` consecutive words of each row."""
+def seeds_of(rows: DataFrame, key: str, shortest: int, bitmap: np.ndarray | None = None) -> DataFrame:
+    """(key, seed): distinct hashes of every ``shortest`` consecutive words of each row, those in
+    the filter where one is given."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashed, first = tokens(batch.column(1))
-            runs, at = window_hashes(hashed, first, shortest)
-            row = np.searchsorted(first, at, "right") - 1
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(runs.view(np.int64))], [key, "seed"])
-
-    return rows.select(F.col(key).cast("long").alias(key), "text").mapInArrow(build, f"{key} long, seed long").distinct()
-
-
-def _pairs_held(docs: DataFrame, index: DataFrame, shortest: int) -> DataFrame:
-    """Pairs (doc_id, item_id) that share a seed; the index, of checked size, goes to every task."""
-    found = index.orderBy("seed", "item_id").toPandas()
-    held, items = found["seed"].to_numpy(np.int64).view(np.uint64), found["item_id"].to_numpy(np.int64)
-    order = np.argsort(held, kind="stable")
-    held, items = held[order], items[order]
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 hashed, first = tokens(part.column(1))
                 runs, place = window_hashes(hashed, first, shortest)
-                hit = np.isin(runs, held)
-                runs, row = runs[hit], np.searchsorted(first, place[hit], "right") - 1
-                low, high = np.searchsorted(held, runs), np.searchsorted(held, runs, "right")
-                count = high - low
-                base = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-                pair = np.unique(np.stack([np.repeat(row, count), items[base + np.arange(count.sum())]]), axis=1)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(pair[0])), pa.array(pair[1])], ["doc_id", "item_id"])
+                if bitmap is not None:
+                    hit = passes(bitmap, runs)
+                    runs, place = runs[hit], place[hit]
+                row = np.searchsorted(first, place, "right") - 1
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(runs.view(np.int64))], [key, "seed"])
 
-    return docs.select("doc_id", "text").mapInArrow(probe, "doc_id long, item_id long")
+    return rows.select(F.col(key).cast("long").alias(key), "text").mapInArrow(build, f"{key} long, seed long").distinct()
+
+
+def passes(bitmap: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """Which seeds have their bit set."""
+    slot = seeds & np.uint64(8 * len(bitmap) - 1)
+    return bitmap[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & np.uint8(1) == 1
 
 
-def _pairs_joined(docs: DataFrame, index: DataFrame, shortest: int) -> DataFrame:
-    return seeds_of(docs, "doc_id", shortest).join(index, "seed").select("doc_id", "item_id").distinct()
+def seed_filter(index: DataFrame, n: int) -> np.ndarray:
+    """A bitmap with the bit of every seed set: a power of two of bits, ``SEED_BITS`` a seed, 16 MB at most."""
+    bits = max(PIECE_BITS, min(MOST_BITS, 1 << (SEED_BITS * max(n, 1) - 1).bit_length()))
+    slots = index.select(F.col("seed").bitwiseAND(F.lit(bits - 1)).alias("slot")).distinct()
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slot = batch.column(0).to_numpy()
+            for piece in np.unique(slot // PIECE_BITS):
+                marks = held.setdefault(int(piece), np.zeros(PIECE_BITS, bool))
+                marks[slot[slot // PIECE_BITS == piece] % PIECE_BITS] = True
+        if held:
+            content = [np.packbits(x, bitorder="little").tobytes() for x in held.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(content)], ["piece", "content"])
+
+    dealt = slots.withColumn("piece", F.floor(F.col("slot") / PIECE_BITS)).repartition("piece").select("slot")
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for row in dealt.mapInArrow(build, "piece long, content binary").toLocalIterator():
+        at = row["piece"] * PIECE_BITS // 8
+        bitmap[at: at + PIECE_BITS // 8] |= np.frombuffer(row["content"], np.uint8)
+    return bitmap
 
 
 def tiled_pairs(docs: DataFrame, items: DataFrame, pairs: DataFrame, shortest: int) -> DataFrame:
@@ -168,15 +178,15 @@ def tiled_pairs(docs: DataFrame, items: DataFrame, pairs: DataFrame, shortest: i
 
 
 def contaminated(
-    docs: DataFrame, items: DataFrame, shortest: int = SHORTEST, covered: float = COVERED, held_seeds: int = HELD_SEEDS,
+    docs: DataFrame, items: DataFrame, shortest: int = SHORTEST, covered: float = COVERED,
 ) -> DataFrame:
     """Pairs of documents and benchmark items whose tiles cover at least ``covered`` of the item.
 
     Words are lower-cased runs of letters, digits and longer characters. A document is a
     candidate for an item when they share ``shortest`` consecutive words. Each candidate is
     tiled greedily, so passages in another order, or with other text between them, count in
-    full. An index of up to ``held_seeds`` seeds (8 bytes each and an item id) is held by
-    the tasks; a larger one is joined by seed. Items with fewer than ``shortest`` words,
+    full. Seeds of documents are joined with those of items; a bitmap of the items' seeds,
+    16 MB at most, spares the join nearly all others. Items with fewer than ``shortest`` words,
     null or empty texts, and null ids match nothing. Repeated rows of an id: the pair is
     returned once, with the largest cover.
 
@@ -185,8 +195,8 @@ def contaminated(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     items = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     index = written(seeds_of(items, "item_id", shortest), "seeds")
-    find = _pairs_held if index.count() <= held_seeds else _pairs_joined
-    pairs = written(find(docs, index, shortest).distinct(), "pairs")
+    bitmap = seed_filter(index, index.count())
+    pairs = written(seeds_of(docs, "doc_id", shortest, bitmap).join(index, "seed").select("doc_id", "item_id").distinct(), "pairs")
     found = tiled_pairs(docs, items, pairs, shortest).where(F.col("covered") >= F.col("n_words") * F.lit(covered))
     best = F.max_by(F.struct("n_words", "covered", "tiles"), F.struct("covered", "n_words")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")

@@ -105,6 +105,16 @@ def test_perspectives_of_awkward_dialogues(spark):
     assert perspectives.rotated(turns.limit(0)).count() == 0
 
 
+def test_long_dialogues_stay_whole(spark):
+    rows = [(1, i, f"s{i % 3}", f"turn {i} é") for i in range(700)]
+    found = perspectives.rotated(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).collect()
+    assert {(r.conv_id, r.part, r.speaker, r.n_turns) for r in found} == {(1, 0, f"s{k}", 700) for k in range(3)}
+    for r in found:
+        heads = ["<|assistant|>\n" if role == r.speaker else f"<|user name={role}|>\n" for _, _, role, _ in rows]
+        assert r.text == "".join(h + text + "\n<|end|>\n" for h, (*_, text) in zip(heads, rows))
+        assert [r.text[m.start:m.end] for m in r.mask] == [f"{text}\n<|end|>\n" for _, _, role, text in rows if role == r.speaker]
+
+
 def test_queries_equal_their_sql(spark, sf_dir):
     connection = connect(sf_dir)
     for name, sql in ORACLES.items():

@@ -1,6 +1,7 @@
 """Mixing, Hilbert sharding and the pipeline."""
 
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,13 +107,45 @@ def test_shards_of_awkward_rows(spark):
     assert len({r.shard for r in few}) == 3 and {r.slot for r in few} == {0}
 
 
+def test_columns_stay_whatever_their_names(spark):
+    names = ["_at", "_place", "_part", "_offset", "_0", "_1", "row", "at", "key_a", "key_b", "number", "block", "tie_0", "before", "n"]
+    df = spark.createDataFrame([(i, f"w{i} x y z", "s", i) for i in range(40)], "doc_id long, text string, source string, size long").withColumns({n: F.concat(F.lit(f"{n} of "), "doc_id") for n in names})
+    for found in (hilbert.hilbert_shards(df, ["source", "size"], 4, ["doc_id"]), mixing.mixed_documents(df, [1], 1.0, block=4)):
+        rows = found.collect()
+        assert len(rows) >= 40 and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names)
+
+
+def test_a_filter_on_two_dimensions_opens_few_shards(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, f"source{rng.randrange(30):02d}", rng.choice(["de", "en", "fr"]), rng.randrange(10_000)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, size long").repartition(4)
+    dims = ["source", "lang", "size"]
+    placed = hilbert.hilbert_shards(df, dims, 64, ["doc_id"])
+    hilbert.write_shards(placed, str(tmp_path / "shards"))
+    stored = spark.read.parquet(str(tmp_path / "shards"))
+    assert stored.count() == 6000
+    ranges = hilbert.shard_ranges(stored, dims).collect()
+    assert len(ranges) == 64 and sum(r.n_rows for r in ranges) == 6000
+    wanted = lambda r: r.min_source <= "source07" <= r.max_source and r.min_size <= 2500 and r.max_size >= 2000
+    opened = [r.shard for r in ranges if wanted(r)]
+    inside = stored.where("source = 'source07' AND size BETWEEN 2000 AND 2500")
+    assert {r.shard for r in inside.collect()} <= set(opened) and len(opened) <= 64 / 4
+    cells = df.select(hilbert.cells(df, ["source"])[0].alias("c"), "source").distinct().collect()
+    order = [r.c for r in sorted(cells, key=lambda r: r.source)]
+    assert order == sorted(order) and len(set(order)) > 25
+
+
 def test_shard_and_mixture_queries(spark, sf_dir):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op8_hilbert_shards"](spark, sf_dir).collect()
     assert {r.doc_id for r in rows} == set(docs) and {r.law for r in rows} == {"rows"}
     assert all(r["size"] == len((docs[r.doc_id].text or "").encode()) + 16 for r in rows)
+    assert all(r.text_crc32 == zlib.crc32((docs[r.doc_id].text or "").encode()) and r.grown_shard is None for r in rows)
     counts = [sum(r.shard == s for r in rows) for s in range(40)]
     assert max(counts) - min(counts) <= 1
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s])) for s in range(40))
+    curve = [r.curve_index for r in sorted(rows, key=lambda r: (r.shard, r.slot))]
+    assert curve == sorted(curve)
     assert {r.doc_id for r in QUERIES["op7_mixture"](spark, sf_dir).collect()} == set(docs)
 
 

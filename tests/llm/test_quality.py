@@ -1,6 +1,8 @@
 """Rules with isolation forest, the byte network and benchmark tiling."""
 
 import random
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -8,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapflow.llm import byte_conv, rules, tiling
+from tapflow.llm.queries import QUERIES
 from tests.llm import cases
 
 NO_LABELS = "doc_id long, quality int, toxic int"
@@ -148,7 +151,7 @@ def test_tiles_equal_plain_greedy_tiling(seed):
     assert sorted(tiling.greedy_tiles(text, item, 4)) == sorted(slow_tiles(text.tolist(), item.tolist(), 4))
 
 
-def test_reordered_passages_are_caught_and_clean_texts_left(spark):
+def test_reordered_passages_are_caught_and_clean_texts_left(spark, monkeypatch):
     rng = random.Random(6)
     item = cases.sentence(rng, 40)
     own = item.split()
@@ -157,9 +160,57 @@ def test_reordered_passages_are_caught_and_clean_texts_left(spark):
     texts = [cases.sentence(rng, 50), f"{cases.sentence(rng, 10)} {item.upper()}! {cases.sentence(rng, 5)}", moved, half, None, "", cases.sentence(rng, 9000) + " " + item]
     docs = documents(spark, texts, [(None, item, None, None, None), (1, texts[1], "en", "s", 0)]).withColumn("item_id", F.lit(7))
     items = spark.createDataFrame([(0, item), (1, "too short"), (2, None), (None, item), (3, cases.sentence(rng, 30)), (0, item)], "item_id long, text string")
-    for held in (10 ** 6, 0):
-        found = {r.doc_id: r for r in tiling.flagged(docs, items, held_seeds=held).collect()}
+    for most in (tiling.MOST_BITS, tiling.PIECE_BITS):
+        monkeypatch.setattr(tiling, "MOST_BITS", most)
+        found = {r.doc_id: r for r in tiling.flagged(docs, items).collect()}
         assert {i for i, r in found.items() if r.contaminated} == {1, 2, 6}
         assert found[2].items == [0] and found[2].share == 1.0 and not found[None].contaminated
     assert tiling.flagged(documents(spark, []), items).count() == 0
     assert tiling.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_the_seed_filter_passes_every_seed(spark):
+    rng = np.random.default_rng(9)
+    held = rng.integers(-2 ** 63, 2 ** 63 - 1, 40_000)
+    index = spark.createDataFrame([(int(x), 1) for x in held], "seed long, item_id long").repartition(5)
+    bitmap = tiling.seed_filter(index, len(held))
+    assert len(bitmap) * 8 == 1 << 20 and tiling.passes(bitmap, held.view(np.uint64)).all()
+    others = rng.integers(-2 ** 63, 2 ** 63 - 1, 40_000).view(np.uint64)
+    assert tiling.passes(bitmap, others).mean() < 0.08
+    assert not tiling.seed_filter(index.limit(0), 0).any()
+
+
+def test_tiling_query_equals_plain_greedy_tiling(spark, sf_dir):
+    def tokens(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").lower())
+
+    docs = {r.doc_id: tokens(r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    items = {r.item_id: tokens(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    seeds = {}
+    for item, own in items.items():
+        for i in range(len(own) - 4):
+            seeds.setdefault(tuple(own[i:i + 5]), set()).add(item)
+    expected = {}
+    for doc, own in docs.items():
+        near = {item for i in range(len(own) - 4) for item in seeds.get(tuple(own[i:i + 5]), ())}
+        expected[doc] = sorted(x for x in near if sum(n for *_, n in slow_tiles(own, items[x], 5)) * 2 >= len(items[x]))
+    found = {r.doc_id: r["items"] for r in QUERIES["op4_string_tiling"](spark, sf_dir).collect()}
+    assert found == expected and any(found.values())
+
+
+def test_quality_queries_on_the_given_documents(spark, sf_dir):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = QUERIES["op10_byte_network"](spark, sf_dir).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    held = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    good, bad = ([s for s, y in held if y == k] for k in (1, 0))
+    assert sum((g > b) + (g == b) / 2 for g in good for b in bad) / len(good) / len(bad) > 0.9
+    verdicts = QUERIES["op2_isolation_rules"](spark, sf_dir).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert {r.doc_id: tuple(getattr(r, c) for c in BASE) for r in verdicts} == {i: brute_counts(t) for i, t in texts.items()}
+    for r in verdicts:
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words) and not (r.base_failed and r.kept)
+    past = [r for r in verdicts if not r.base_failed]
+    least = min((r.anomaly for r in past if not r.kept), default=2)
+    assert all(r.kept == (r.anomaly < least) for r in past) and len({r.anomaly for r in past}) > len(past) / 2
+    assert sum(r.kept for r in past if labels.get(r.doc_id) == 1) >= 0.97 * sum(labels.get(r.doc_id) == 1 for r in past)
