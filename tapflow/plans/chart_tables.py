@@ -29,11 +29,17 @@ def named(df: DataFrame, focus: Focus) -> DataFrame:
     return with_display_name(df, focus.table(df.sparkSession))
 
 
+def in_order(df: DataFrame, focus: Focus) -> DataFrame:
+    """As ``named``, with the place of each focus station in the order they were given."""
+    places = focus.table(df.sparkSession).select("station", "display_order")
+    return named(df, focus).join(places, "station", "left")
+
+
 def chart_a(long: DataFrame, daily: DataFrame, focus: Focus) -> DataFrame:
     """Weekday × hour cells of the focus stations and the largest value of all of them."""
     surface = weekday_hour_surface(focus.keep(long), focus.keep(daily))
     shared = F.max("value").over(Window.partitionBy())  # 168 rows per focus station
-    return named(surface.withColumn("scale_max", shared), focus)
+    return in_order(surface.withColumn("scale_max", shared), focus)
 
 
 def chart_b(long: DataFrame, focus: Focus) -> DataFrame:
@@ -41,13 +47,13 @@ def chart_b(long: DataFrame, focus: Focus) -> DataFrame:
     hourly = with_share(hour_totals(focus.keep(long)), ["station"], "taps")
     shares = hourly.select("station", "hour", (F.col("share") * 100).alias("share_pct"))
     peaks = peak_hour(shares, "share_pct")
-    return named(shares.join(peaks, "station"), focus)
+    return in_order(shares.join(peaks, "station"), focus)
 
 
 def chart_c(long: DataFrame, focus: Focus) -> DataFrame:
     """Yearly totals in millions of each focus station."""
     totals = annual_totals(focus.keep(long))
-    return named(totals, focus).withColumn("taps_millions", millions(F.col("taps")))
+    return in_order(totals, focus).withColumn("taps_millions", millions(F.col("taps")))
 
 
 def chart_d(daily: DataFrame, focus: Focus) -> DataFrame:
@@ -67,12 +73,12 @@ def profile_rows(scaled: DataFrame, keep: list[str], axes: list[str]) -> DataFra
 def chart_e(features: DataFrame, focus: Focus) -> DataFrame:
     """Min–max feature profile of each focus station; constant features keep their value."""
     scaled = min_max(focus.keep(features), fixed.FEATURES, "keep")
-    return profile_rows(named(scaled, focus), ["station", "display_name"], fixed.PROFILE_AXES)
+    return profile_rows(in_order(scaled, focus), ["station", "display_name", "display_order"], fixed.PROFILE_AXES)
 
 
 def chart_f_steps(long: DataFrame, focus: Focus) -> DataFrame:
     """Step curve of each focus station's 24 hourly shares."""
-    return named(ecdf(hour_samples(focus.keep(long))), focus)
+    return in_order(ecdf(hour_samples(focus.keep(long))), focus)
 
 
 def chart_f_ks(long: DataFrame, pair: DataFrame) -> DataFrame:
@@ -87,8 +93,8 @@ def chart_g(long: DataFrame, focus: Focus, hour: int = fixed.PEAK_HOUR) -> DataF
     at_hour = focus.keep(long.where(F.col("hour") == hour))
     stations = focus.table(long.sparkSession).select("station")
     sums = stations.join(direction_pivot(at_hour, ["station"]), "station", "left")
-    return named(sums.na.fill(0, fixed.DIRECTIONS), focus).select(
-        "station", "display_name",
+    return in_order(sums.na.fill(0, fixed.DIRECTIONS), focus).select(
+        "station", "display_name", "display_order",
         thousands(-F.col("alight")).alias("alight_thousands"),
         thousands(F.col("board")).alias("board_thousands"),
     )

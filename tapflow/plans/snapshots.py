@@ -17,7 +17,7 @@ from tapflow.operators.lookup import assign_station_id, station_ids
 from tapflow.operators.ordering import preview, top_columns
 from tapflow.operators.reshape import dense_hours, hour_columns, hour_profile, hourly_long, slot_total
 from tapflow.operators.scaling import min_max
-from tapflow.plans.chart_tables import named, profile_rows
+from tapflow.plans.chart_tables import in_order, named, profile_rows
 from tapflow.sources.tables import write_snapshot
 from tapflow.staging import written
 
@@ -54,14 +54,14 @@ def flow_lines(long: DataFrame, focus: Focus) -> DataFrame:
     dense = focus.table(long.sparkSession).select("station").join(profile, "station", "left").na.fill(0)
     rows = dense_hours(dense.withColumn("total", slot_total()), ["station", "total"])
     share = F.round(ratio_or_zero(F.col("taps"), F.col("total")) * 100, 2)
-    return named(rows.select("station", "hour", share.alias("share_pct")), focus)
+    return in_order(rows.select("station", "hour", share.alias("share_pct")), focus)
 
 
 def feature_profiles(features: DataFrame, focus: Focus) -> DataFrame:
     """Min–max profiles of the focus stations at 3 digits; constant features become 0."""
     scaled = min_max(focus.keep(features), fixed.FEATURES, "zero")
     rounded = scaled.withColumns({name: F.round(name, 3) for name in fixed.FEATURES})
-    return profile_rows(named(rounded, focus), ["station", "display_name"], fixed.SNAPSHOT_AXES)
+    return profile_rows(in_order(rounded, focus), ["station", "display_name", "display_order"], fixed.SNAPSHOT_AXES)
 
 
 def cluster_bars(labels: DataFrame) -> DataFrame:

@@ -47,8 +47,8 @@ PRICE_INDEX = f"""{TRADES}, price_index AS (
     SELECT gu_code, CAST(date_trunc('month', contract_date) AS DATE) AS year_month,
            median(price_per_m2) AS median_price
     FROM trades GROUP BY ALL)"""
-FOCUS = """focus(station, en_name) AS (
-    VALUES ('click', 'Click street'), ('view', 'View point'), ('purchase', 'Purchase plaza'))"""
+FOCUS = """focus(station, en_name, display_order) AS (
+    VALUES ('click', 'Click street', 0), ('view', 'View point', 1), ('purchase', 'Purchase plaza', 2))"""
 FOCUS_TAPS = "focus_taps AS (SELECT * FROM taps WHERE station IN (SELECT station FROM focus))"
 
 # Shared steps
@@ -547,21 +547,21 @@ ORACLES: dict[str, str] = {
             ('the first axis takes its share')) f(fact)""",
     "archetype_given": f"WITH {BY_USER}, {NAMES} SELECT cluster, cluster_name FROM names",
     "chart_a": f"""
-        WITH {SURFACE}, {FOCUS} SELECT station, weekday, hour, round(value, 6) AS value, en_name AS display_name,
+        WITH {SURFACE}, {FOCUS} SELECT station, weekday, hour, round(value, 6) AS value, en_name AS display_name, display_order,
                round(max(value) OVER (), 6) AS scale_max
         FROM surface JOIN focus USING (station)""",
     "chart_b": f"""
         WITH {BY_TYPE}, {FOCUS}, t AS (
-            SELECT station, en_name, hour, sum(cnt) AS taps FROM taps JOIN focus USING (station) GROUP BY ALL),
+            SELECT station, en_name, display_order, hour, sum(cnt) AS taps FROM taps JOIN focus USING (station) GROUP BY ALL),
         s AS (SELECT *, CAST(taps AS DOUBLE) / sum(taps) OVER (PARTITION BY station) * 100 AS share_pct FROM t)
-        SELECT station, hour, round(share_pct, 6) AS share_pct, en_name AS display_name,
+        SELECT station, hour, round(share_pct, 6) AS share_pct, en_name AS display_name, display_order,
                first(hour) OVER w AS peak_hour, round(first(share_pct) OVER w, 6) AS peak_value
         FROM s WINDOW w AS (PARTITION BY station ORDER BY taps DESC, hour
                             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
     "chart_c": f"""
-        WITH {BY_PRIORITY}, names(station, display_name) AS (
-            VALUES ('1-URGENT', 'Urgent'), ('3-MEDIUM', 'Medium'), ('5-LOW', 'Low'))
-        SELECT station, CAST(year(year_month) AS INTEGER) AS year, CAST(sum(cnt) AS BIGINT) AS taps, display_name,
+        WITH {BY_PRIORITY}, names(station, display_name, display_order) AS (
+            VALUES ('1-URGENT', 'Urgent', 0), ('3-MEDIUM', 'Medium', 1), ('5-LOW', 'Low', 2))
+        SELECT station, CAST(year(year_month) AS INTEGER) AS year, CAST(sum(cnt) AS BIGINT) AS taps, display_name, display_order,
                round(CAST(sum(cnt) AS DOUBLE) / 1e6, 6) AS taps_millions
         FROM taps JOIN names USING (station) GROUP BY ALL""",
     "chart_d": f"""
@@ -578,21 +578,21 @@ ORACLES: dict[str, str] = {
         FROM m""",
     "chart_e": f"""
         WITH {BY_TYPE}, {FEATURES}, {FOCUS}, f AS (
-            SELECT features.*, en_name AS display_name FROM features JOIN focus USING (station))
-        {_ring("f", "keep", fixed.PROFILE_AXES, 4, "station, display_name")}""",
+            SELECT features.*, en_name AS display_name, display_order FROM features JOIN focus USING (station))
+        {_ring("f", "keep", fixed.PROFILE_AXES, 4, "station, display_name, display_order")}""",
     "chart_f": f"""
         WITH {BY_TYPE}, {SHARES}, {FOCUS} SELECT station,
                CAST(row_number() OVER (PARTITION BY station ORDER BY share, hour) AS INTEGER) AS step,
                round(share, 9) AS share,
                round(row_number() OVER (PARTITION BY station ORDER BY share, hour) / 24.0, 9) AS cumulative,
-               en_name AS display_name
+               en_name AS display_name, display_order
         FROM shares JOIN focus USING (station)""",
     "chart_f_ks": f"""
         WITH {BY_TYPE}, {SHARES}, pairs AS (SELECT 'click' AS station_a, 'view' AS station_b), {KS_STEPS}
         SELECT station_a, station_b, {_rounded(["ks", "at_share", "cdf_a", "cdf_b", "p_exact", "p_limit"], 9)}
         FROM p_values""",
     "chart_g": f"""
-        WITH {BY_TYPE}, {FOCUS} SELECT station, en_name AS display_name,
+        WITH {BY_TYPE}, {FOCUS} SELECT station, en_name AS display_name, display_order,
                round(-coalesce(sum(cnt) FILTER (WHERE hour = 8 AND direction = 'alight'), 0) / 1e3, 3) + 0.0
                    AS alight_thousands,
                round(coalesce(sum(cnt) FILTER (WHERE hour = 8 AND direction = 'board'), 0) / 1e3, 3) AS board_thousands
@@ -662,12 +662,12 @@ ORACLES: dict[str, str] = {
         WITH {RANKED_USERS} SELECT rank, column_label, cv, rank <= 8 AS distinctive FROM ranked WHERE rank <= 16""",
     "snap_flow": f"""
         WITH {BY_TYPE}, {SHARES}, {FOCUS} SELECT station, hour, round(share * 100, 2) AS share_pct,
-               en_name AS display_name
+               en_name AS display_name, display_order
         FROM shares JOIN focus USING (station)""",
     "snap_profile": f"""
         WITH {BY_TYPE}, {FEATURES}, {FOCUS}, f AS (
-            SELECT features.*, en_name AS display_name FROM features JOIN focus USING (station))
-        {_ring("f", "zero", fixed.SNAPSHOT_AXES, 3, "station, display_name")}""",
+            SELECT features.*, en_name AS display_name, display_order FROM features JOIN focus USING (station))
+        {_ring("f", "zero", fixed.SNAPSHOT_AXES, 3, "station, display_name, display_order")}""",
     "snap_clusters": f"""
         WITH {BY_USER}, {LABELS} SELECT cluster_name, count(*) AS n_stations FROM labels GROUP BY 1""",
     "incremental_hour_totals": f"""
@@ -732,4 +732,10 @@ ORACLES: dict[str, str] = {
                CAST(coalesce(sum(n) FILTER (WHERE NOT cut AND NOT lost), 0) AS BIGINT) AS landed,
                CAST(sum(keys) FILTER (WHERE NOT cut AND NOT lost) AS BIGINT) AS keys, max(priority) FILTER (WHERE NOT cut AND NOT lost) AS priority
         FROM pages JOIN totals USING (month) WHERE month >= '199601' GROUP BY month""",
+    "json_round_trip": f"""
+        WITH {PRICE_INDEX} SELECT gu_code, CAST(year_month AS VARCHAR) AS year_month, round(median_price, 3) AS median_price_per_m2
+        FROM price_index""",
+    "json_lines": f"""
+        WITH {BY_TYPE} SELECT '{{"station":"' || station || '","hour":' || hour || ',"taps":' || sum(cnt) || '}}' AS json
+        FROM taps GROUP BY station, hour""",
 }

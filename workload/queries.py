@@ -981,3 +981,23 @@ def landed_months(spark, sf):
         F.count("*").alias("landed"), F.sum(F.col("key").cast("long")).alias("keys"), F.max("priority").alias("priority")
     )
     return about.join(records, "month", "left").na.fill(0, ["landed"])
+
+
+# JSON
+
+
+@query
+def json_round_trip(spark, sf):
+    """The price index written as a JSON snapshot and read back."""
+    path = new_folder(spark, "tapflow-json")
+    index = rounded(prices.monthly_price_index(inputs.trades(spark, sf)), 3, "median_price_per_m2")
+    tables.write_snapshot(index, path)
+    return spark.read.schema("gu_code string, year_month string, median_price_per_m2 double").json(path)
+
+
+@query
+def json_lines(spark, sf):
+    """Hour totals as one JSON text a row."""
+    totals = aggregates.hour_totals(inputs.taps_by_type(spark, sf))
+    stage = snapshots.Stage("hours", "Hours", "taps", totals, totals)
+    return snapshots.stage_json(stage)
