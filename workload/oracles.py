@@ -738,4 +738,24 @@ ORACLES: dict[str, str] = {
     "json_lines": f"""
         WITH {BY_TYPE} SELECT '{{"station":"' || station || '","hour":' || hour || ',"taps":' || sum(cnt) || '}}' AS json
         FROM taps GROUP BY station, hour""",
+    "regions_by_area": """
+        WITH t AS (
+            SELECT s_nationkey AS nation, s_suppkey, 2 * pi() * (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1)
+                   / count(*) OVER (PARTITION BY s_nationkey) AS turn, 2 + (s_suppkey % 7) / 2.0 AS out
+            FROM supplier),
+        corners AS (
+            SELECT nation, row_number() OVER (PARTITION BY nation ORDER BY turn) AS i, count(*) OVER (PARTITION BY nation) AS n,
+                   round(nation % 5 * 8 + out * cos(turn), 6) AS x, round(floor(nation / 5) * 8 + out * sin(turn), 6) AS y
+            FROM t),
+        sides AS (
+            SELECT a.nation, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+            FROM corners a JOIN corners b ON a.nation = b.nation AND b.i = a.i % a.n + 1 WHERE a.n >= 3),
+        points AS (
+            SELECT c_custkey, (c_custkey * 7919) % 4000 / 100.0 - 4 AS lon, (c_custkey * 104729) % 4000 / 100.0 - 4 AS lat FROM customer),
+        holds AS (
+            SELECT c_custkey, nation FROM points JOIN sides
+            ON (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1
+            GROUP BY c_custkey, nation HAVING count(*) % 2 = 1)
+        SELECT c_custkey, CAST(lon AS DOUBLE) AS lon, CAST(lat AS DOUBLE) AS lat, min(CAST(nation AS VARCHAR)) AS gu
+        FROM points LEFT JOIN holds USING (c_custkey) GROUP BY ALL""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -12,7 +13,7 @@ from tapflow.functions.arrays import number_text
 from tapflow.functions.numbers import millions
 from tapflow.functions.text import canonical_name, column_label, signed_percent
 from tapflow.operators import aggregates, clusters, distributions, features, kmeans, lookup, ordering
-from tapflow.operators import prices, reshape, running, scaling, silhouette, sketches, states
+from tapflow.operators import prices, regions, reshape, running, scaling, silhouette, sketches, states
 from tapflow.plans import chart_tables as charts, dictionary, incremental, snapshots
 from tapflow.sources import landed, pages, tables
 from tapflow.staging import checkpointed, new_folder
@@ -1001,3 +1002,30 @@ def json_lines(spark, sf):
     totals = aggregates.hour_totals(inputs.taps_by_type(spark, sf))
     stage = snapshots.Stage("hours", "Hours", "taps", totals, totals)
     return snapshots.stage_json(stage)
+
+
+# Regions by area
+
+
+def _polygons(spark, sf):
+    """A star-shaped ring per nation: a corner per supplier, at equal angles, as far out as its balance says."""
+    suppliers = table(spark, sf, "supplier")
+    places = Window.partitionBy("s_nationkey")
+    turn = 2 * math.pi * (F.row_number().over(places.orderBy("s_suppkey")) - 1) / F.count("*").over(places)
+    out = 2 + F.pmod("s_suppkey", F.lit(7)) / 2
+    middle_x, middle_y = F.col("s_nationkey") % 5 * 8, F.floor(F.col("s_nationkey") / 5) * 8
+    corner = F.struct(turn.alias("turn"), F.round(middle_x + out * F.cos(turn), 6).alias("lon"), F.round(middle_y + out * F.sin(turn), 6).alias("lat"))
+    corners = suppliers.select("s_nationkey", corner.alias("corner"))
+    return corners.groupBy(F.col("s_nationkey").cast("string").alias("gu")).agg(
+        F.transform(F.sort_array(F.collect_list("corner")), lambda c: F.struct(c["lon"].alias("lon"), c["lat"].alias("lat"))).alias("ring")
+    )
+
+
+@query
+def regions_by_area(spark, sf):
+    """Customers by the polygon that holds their place, by a grid of half units."""
+    key = F.col("c_custkey")
+    points = table(spark, sf, "customer").select(
+        "c_custkey", (F.pmod(key * 7919, F.lit(4000)) / 100.0 - 4).alias("lon"), (F.pmod(key * 104729, F.lit(4000)) / 100.0 - 4).alias("lat")
+    )
+    return regions.attach_region_by_area(points, _polygons(spark, sf), 0.5)
