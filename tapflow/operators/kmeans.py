@@ -10,6 +10,7 @@ is settled on the weighted candidates before it sees the points.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -24,8 +25,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-# Rounds in which candidate centres are drawn.
+# Rounds in which candidate centres are drawn, and points of a task in the passes.
 ROUNDS = 3
+TASK_POINTS = 50_000
 
 
 @dataclass
@@ -211,6 +213,8 @@ def best_runs(points: DataFrame, width: int, ks: list[int], starts: int, seed: i
     keeps its centre.
     """
     found, weights = candidates(points, width, max(ks), seed)
+    # fewer, fuller tasks; a pass over the points of one task needs no exchange
+    points = points.coalesce(max(1, math.ceil(weights.sum() / TASK_POINTS)))
     runs = [Run(k, start, _settled_start(found, weights, k, seed + start)) for k in ks for start in range(starts)]
     _settle(points, runs, max_passes, tolerance)
     best: dict[int, Run] = {}
