@@ -230,8 +230,10 @@ def near_duplicates(
     in tiles of ``TILE`` classes with their sets, skipping pairs already in one component.
 
     Result: doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id,
-    kept. Null or empty texts have no shingles and are linked with nothing; a null doc_id
-    gives a null component and is kept; rows repeating a doc_id count as one document.
+    kept. Null or empty texts have no shingles and are linked with nothing. A row without a
+    doc_id takes the component of an equal set that has one, and is then not kept; without
+    such a set its component is null and it is kept. Rows repeating a doc_id count as one
+    document.
     """
     docs = docs.select("doc_id", F.col(text).alias("text"))
     signed = written(signatures(docs, size, hashes, rows, bits), "signatures")
