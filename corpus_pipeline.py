@@ -20,12 +20,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the isolation forest."""
+    """Documents that pass the base rules and the isolation forest.
+
+    Null and empty texts have no words and go. Rows without an id are judged but match no
+    label; repeated rows are judged each. Without documents or labels the rest passes.
+    """
     return quality_rules(docs, _table(spark, sf_dir, "labels"), carry=True)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component; rows without an id stay."""
+    """One document of each near-duplicate component; rows without an id stay, as do all rows of
+    a kept id."""
     others = near_duplicates(docs, part=75, whole=100, size=5).where("NOT kept").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
@@ -37,12 +42,17 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources by weights 3, 1, 2 to 150 % of all words: a row per document and pass."""
+    """Sources by weights 3, 1, 2 to 150 % of all words: a row per document and pass.
+
+    A null source is a source of its own, the last one; texts without words take no part;
+    ids may be missing; rows equal in all columns are drawn as rows of their own.
+    """
     return mixed_documents(docs, weights=[3, 1, 2], share=1.5, most=2.0)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """40 shards along a Hilbert curve through source, language and length."""
+    """40 shards along a Hilbert curve through source, language and length; every row stays,
+    missing values are the first cell of their dimension."""
     tied = docs.withColumn("_text_hash", F.xxhash64("text"))
     return hilbert_shards(tied, ["source", "lang", "n_chars"], shards=40, ties=["doc_id", "_text_hash"]).drop("_text_hash")
 
