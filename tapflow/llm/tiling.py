@@ -144,7 +144,7 @@ def seed_filter(index: DataFrame, n: int) -> np.ndarray:
 
     dealt = slots.withColumn("piece", F.floor(F.col("slot") / PIECE_BITS)).repartition("piece").select("slot")
     bitmap = np.zeros(bits // 8, np.uint8)
-    for row in dealt.mapInArrow(build, "piece long, content binary").toLocalIterator():
+    for row in dealt.mapInArrow(build, "piece long, content binary").collect():  # 16 MB at most
         at = row["piece"] * PIECE_BITS // 8
         bitmap[at: at + PIECE_BITS // 8] |= np.frombuffer(row["content"], np.uint8)
     return bitmap
