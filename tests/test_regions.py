@@ -76,3 +76,14 @@ def test_no_all_pairs_join_and_only_borders_carry_edges(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     with pytest.raises(Exception, match="too fine"):
         regions.covered_cells(polygons, 0.001).collect()
+
+
+def test_border_cells_carry_only_edges_that_come_in(spark):
+    """Long thin spikes: a cell has the few edges that pass it, not the ring's 4000."""
+    rng = random.Random(3)
+    ring = [(10 + (2, 5)[k % 2] * math.cos(k * math.pi / 2000), 10 + (2, 5)[k % 2] * math.sin(k * math.pi / 2000)) for k in range(4000)]
+    polygons = spark.createDataFrame([("a", ring)], RING)
+    carried = regions.covered_cells(polygons, 0.5).select(F.inline("regions")).agg(F.sum(F.size("sides"))).first()[0]
+    assert carried < 12 * len(ring)  # 4000 in each of some 350 cells before
+    points = [(i, rng.uniform(4, 16), rng.uniform(4, 16)) for i in range(1000)] + [(2000 + k, *ring[k]) for k in range(0, 4000, 9)]
+    assert found(spark, points, [("a", ring)], 0.5) == brute_force(points, [("a", ring)])
