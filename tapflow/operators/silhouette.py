@@ -7,12 +7,22 @@ import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+# Rows of a tile: this many where that leaves up to SPREAD tiles, more beyond, FULL times as many at most.
 TILE_ROWS = 1024
+SPREAD = 16
+FULL = 16
+# Tasks that the comparison is cut into where there are rows enough.
+TASKS = 64
+# Rows of a tile and points they meet at a time, so that their distances stay in the cache.
+OWN_ROWS, MET_ROWS = 32, 4096
+# Share of the squared lengths below which a squared distance is taken again, from differences.
+CLOSE = 1e-5
+# Sums that a task holds before it hands them on.
+HELD_SUMS = 8_000_000
 
 # Tasks carry the helpers below with them; executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,52 +39,132 @@ def wcss(points: DataFrame, vector: str, label: str) -> DataFrame:
     )
 
 
-def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    squares = np.zeros((len(left), len(right)))
-    for axis in range(left.shape[1]):
-        squares += (left[:, axis, None] - right[None, :, axis]) ** 2
-    return np.sqrt(squares)
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", vectors, vectors)
+
+
+def _distances(left: np.ndarray, right: np.ndarray, of_left: np.ndarray, of_right: np.ndarray) -> np.ndarray:
+    """Distances of all pairs, whose squared lengths are given, by a product of matrices; close
+    pairs, whose squares lose digits by it, from their differences."""
+    lengths = of_left[:, None] + of_right
+    squares = left @ right.T
+    squares *= -2
+    squares += lengths
+    lengths *= CLOSE
+    a, b = np.nonzero(squares < lengths)
+    squares[a, b] = ((left[a] - right[b]) ** 2).sum(axis=1)
+    return np.sqrt(squares, out=squares)
+
+
+class _Sums:
+    """Distances of a tile's points to the points met so far, added up by assignment and cluster."""
+
+    def __init__(self, keys: pa.Array, vectors: np.ndarray, labels: list[str]):
+        self.keys, self.labels = keys, labels
+        self.middle = vectors.mean(axis=0)  # distances don't change when all points move
+        self.vectors = vectors - self.middle
+        self.lengths = _lengths(self.vectors)
+        self.clear()
+
+    def clear(self) -> None:
+        self.totals: dict[tuple[str, str], np.ndarray] = {}
+
+    def meet(self, vectors: np.ndarray, codes: list[np.ndarray], names: list[list[str]]) -> None:
+        """Add the distances to points whose cluster under each assignment has a number and a name."""
+        order = np.lexsort(codes)
+        codes = [code[order] for code in codes]
+        starts = np.flatnonzero(np.concatenate([[True], np.any([code[1:] != code[:-1] for code in codes], axis=0)]))
+        theirs = vectors[order] - self.middle
+        lengths = _lengths(theirs)
+        runs = np.empty((len(self.vectors), len(starts)))
+        for at in range(0, len(self.vectors), OWN_ROWS):
+            own = slice(at, at + OWN_ROWS)
+            gaps = _distances(self.vectors[own], theirs, self.lengths[own], lengths)
+            np.add.reduceat(gaps, starts, axis=1, out=runs[own])
+        for label, code, known in zip(self.labels, codes, names):
+            present, number = np.unique(code[starts], return_inverse=True)
+            sums = runs @ np.eye(len(present))[number]
+            for i, name in enumerate(present):
+                if (label, known[name]) in self.totals:
+                    self.totals[label, known[name]] += sums[:, i]
+                else:
+                    self.totals[label, known[name]] = sums[:, i].copy()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for (label, code), total in self.totals.items():
+            n = len(total)
+            yield pa.RecordBatch.from_arrays(
+                [self.keys, pa.repeat(pa.scalar(label), n), pa.repeat(pa.scalar(code), n), pa.array(total)], ["key", "assignment", "code", "total"]
+            )
+        self.clear()
 
 
 def silhouette_points(points: DataFrame, key: str, vector: str, labels: list[str]) -> DataFrame:
     """Silhouette of each point under each of several assignments, long form.
 
-    Points are hashed into tiles of about 1024 rows and each pair of tiles meets in one
-    task, which adds up distances per cluster; no pair of points leaves the task. All
-    assignments share the distances. Sums come back as rows of (key, assignment, cluster),
-    so any number of clusters will do. Rows moved grow with n²/1024 and no group grows
+    Points are hashed into tiles, and the points that a tile meets into a few slabs. A task
+    holds one tile, reads the slab batch by batch and adds up distances per cluster; no pair
+    of points leaves the task. All assignments share the distances. Sums come back as rows of
+    (key, assignment, cluster), so any number of clusters will do. The work is n² by
+    definition; rows moved grow with n²/16384, sums with n and the slabs, and no group grows
     with the data or with a cluster's size.
     """
     n = points.count()
-    tiles = max(1, math.ceil(n / TILE_ROWS))
-    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+    tiles = max(1, math.ceil(n / (FULL * TILE_ROWS)), min(SPREAD, math.ceil(n / TILE_ROWS)))
+    slabs = max(1, min(math.ceil(TASKS / tiles), math.ceil(n / (4 * TILE_ROWS))))
     rows = points.select(
-        F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"),
+        F.col(key).alias("key"), F.col(vector).alias("vector"),
         *[F.col(label).cast("string").alias(label) for label in labels],
-    ).withColumn("own", F.pmod(F.xxhash64("key"), F.lit(tiles)).cast("int"))
-    left = rows.select("key", "vector", F.col("own").alias("row_tile"), every.alias("column_tile"))
-    right = rows.select("vector", *labels, F.col("own").alias("column_tile"), every.alias("row_tile"))
+    )
+    tile, slab = (F.pmod(F.xxhash64("key", F.lit(salt)), F.lit(parts)).cast("int") for salt, parts in ((1, tiles), (2, slabs)))
+
+    def every(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    own = rows.withColumns({"tile": tile, "slab": every(slabs)}).withColumn("met", F.lit(False))
+    others = rows.withColumns({"slab": slab, "tile": every(tiles)}).withColumn("met", F.lit(True)).withColumn("key", F.lit(None).cast(rows.schema["key"].dataType))
+    codes = [f"code_{i}" for i in range(len(labels))]
+
+    def placed(part: DataFrame) -> DataFrame:
+        task = (F.col("tile") * slabs + F.col("slab")).cast("int")
+        return part.select(task.alias("task"), "met", "key", "vector", *[F.col(label).alias(code) for label, code in zip(labels, codes)])
+
+    dealt = placed(own).union(placed(others)).repartitionById(tiles * slabs, F.col("task")).sortWithinPartitions("task", "met")
     schema = T.StructType([
         T.StructField("key", rows.schema["key"].dataType), T.StructField("assignment", T.StringType()),
         T.StructField("code", T.StringType()), T.StructField("total", T.DoubleType()),
     ])
 
-    def meet(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(ours) and len(theirs):
-            gaps = _distances(np.stack(ours["vector"]), np.stack(theirs["vector"]))
-            for label in labels:
-                codes, number = np.unique(theirs[label].to_numpy(dtype=object), return_inverse=True)
-                sums = gaps @ np.eye(len(codes))[number]
-                parts.append(pd.DataFrame({
-                    "key": np.repeat(ours["key"].to_numpy(), len(codes)), "assignment": label,
-                    "code": np.tile(codes, len(ours)), "total": sums.ravel(),
-                }))
-        return pd.concat(parts) if parts else pd.DataFrame(columns=["key", "assignment", "code", "total"])
-
-    tile = ["row_tile", "column_tile"]
-    met = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(meet, schema)
-    added = met.groupBy("key", "assignment", "code").agg(F.sum("total").alias("total"))
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, own, sums = None, [], None
+        for batch in batches:
+            kinds = np.stack([batch.column("task").to_numpy(), batch.column("met").to_numpy(zero_copy_only=False)])
+            bounds = [0, *(np.flatnonzero((kinds[:, 1:] != kinds[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+            for first, end in zip(bounds, bounds[1:]):
+                if first == end:
+                    continue
+                if kinds[0, first] != task:  # a task's points come first, then those that they meet
+                    if sums is not None:
+                        yield from sums.rows()
+                    task, own, sums = kinds[0, first], [], None
+                if not kinds[1, first]:
+                    own.append(batch.slice(first, end - first))
+                    continue
+                for at in range(first, end if own else first, MET_ROWS):
+                    if sums is None:
+                        keys = pa.concat_arrays([part.column("key") for part in own])
+                        sums = _Sums(keys, np.concatenate([_vectors(part) for part in own]), labels)
+                    part = batch.slice(at, min(MET_ROWS, end - at))
+                    coded = [part.column(code).dictionary_encode() for code in codes]
+                    if any(code.null_count for code in coded):
+                        raise ValueError("points without a label have no silhouette")
+                    sums.meet(_vectors(part), [code.indices.to_numpy() for code in coded], [code.dictionary.to_pylist() for code in coded])
+                    if len(sums.totals) * len(sums.vectors) > HELD_SUMS:
+                        yield from sums.rows()
+        if sums is not None:
+            yield from sums.rows()
+
+    added = dealt.mapInArrow(meet, schema).groupBy("key", "assignment", "code").agg(F.sum("total").alias("total"))
     named = F.array(*[F.struct(F.lit(label).alias("assignment"), F.col(label).alias("cluster")) for label in labels])
     own = rows.select("key", F.inline(named))
     sizes = own.groupBy("assignment", F.col("cluster").alias("code")).agg(F.count("*").alias("n"))
@@ -237,6 +327,14 @@ def _labelled(points: DataFrame, vector: str, labels: list[str]) -> DataFrame:
     return points.select(F.col(vector).cast("array<double>").alias("vector"), *[F.col(label).cast("string").alias(f"label_{i}") for i, label in enumerate(labels)])
 
 
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    """The vectors of a batch, one a row, as doubles."""
+    column = batch.column("vector")
+    if column.null_count:
+        raise ValueError("points without a vector have no silhouette")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
 def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The vectors of a batch that are there, one a row, and which rows have one."""
     valid = np.asarray(batch.column(0).is_valid())

@@ -55,6 +55,29 @@ def test_silhouette_against_brute_force(spark, monkeypatch, tile_rows):
     assert math.isclose(found["other"], silhouette_by_hand(points, other), abs_tol=1e-12)
 
 
+def test_silhouette_of_close_points_far_from_the_middle(spark):
+    """Copies and points a millionth apart keep their digits."""
+    rng = np.random.default_rng(8)
+    points = np.repeat(rng.normal(0, 5, (30, 20)), 4, axis=0)
+    points[1::4] += rng.normal(0, 1e-6, (30, 20))
+    labels = np.arange(120) // 2 % 8
+    df = points_frame(spark, points, labels)
+    found = silhouette.mean_silhouette(df, "station", "point", ["label"]).first()
+    assert math.isclose(found.silhouette, silhouette_by_hand(points, labels), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_silhouette_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(silhouette, "TILE_ROWS", 8)
+    points, labels = blobs(400, [(0, 0), (5, 5)], 1.0)
+    df = points_frame(spark, points, labels)
+    for held in (8_000_000, 1):  # 1: sums are handed on after each batch
+        monkeypatch.setattr(silhouette, "HELD_SUMS", held)
+        found = silhouette.mean_silhouette(df, "station", "point", ["label"])
+        assert math.isclose(found.first().silhouette, silhouette_by_hand(points, labels), abs_tol=1e-12)
+    gaps = silhouette._distances(points, points, (points ** 2).sum(1), (points ** 2).sum(1))
+    assert np.allclose(gaps, np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1)), rtol=1e-9, atol=0)
+
+
 def test_wcss(spark):
     points, labels = blobs(50, [(0, 0), (5, 5)], 1.0)
     found = {r.cluster: (r.n_points, r.wcss)
