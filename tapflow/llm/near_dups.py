@@ -188,6 +188,11 @@ def _as_links(roots: DataFrame) -> DataFrame:
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
+def _extended(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with more links; without any they stay, which saves the driver the rounds' plans."""
+    return roots if links.isEmpty() else components(_as_links(roots).union(links))
+
+
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs (a, b) whose ends are in different components so far."""
     for end in ("a", "b"):
@@ -262,9 +267,9 @@ def near_duplicates(
     best = close.groupBy("b").agg(F.max_by("a", F.struct("about", "a")).alias("a"))
     stars = components(_confirmed(docs, best, size, part, whole))
     rest = _across(close.select("a", "b"), stars).join(best, ["a", "b"], "left_anti")
-    stars = components(_as_links(stars).union(_confirmed(docs, rest, size, part, whole)))
-    crossed = _within_tiles(docs, _unsettled(members, stars), about, part, whole, size)
-    roots = components(_as_links(stars).union(crossed))
+    stars = _extended(stars, _confirmed(docs, rest, size, part, whole))
+    crossed = written(_within_tiles(docs, _unsettled(members, stars), about, part, whole, size), "crossed")
+    roots = _extended(stars, crossed)
 
     class_of = classes.select("digest", F.col("rep").alias("class_id"))
     return (

@@ -173,3 +173,16 @@ def test_queries_on_the_given_tables(spark, sf_dir):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op1_near_duplicates"](spark, sf_dir).collect()} == {
         docs[i].doc_id: (n, docs[root].doc_id) for i, (n, root) in brute_components(texts).items()
     }
+
+
+def test_components_are_not_found_again_without_new_links(spark, monkeypatch):
+    """Two copies with one word changed: the first round links them, and no later one has links."""
+    from tapflow.llm import near_dups
+
+    calls, real = [], near_dups.components
+    monkeypatch.setattr(near_dups, "components", lambda links: calls.append(1) or real(links))
+    long = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "a b c d e f g")], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_dups.near_duplicates(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+    assert len(calls) == 1  # 3 before
