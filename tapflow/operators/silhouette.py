@@ -11,17 +11,17 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Rows of a tile: this many where that leaves up to SPREAD tiles, more beyond, FULL times as many at most.
+# Rows of a tile: this many where that leaves up to TASKS tiles, more beyond, FULL times as many at most.
 TILE_ROWS = 1024
-SPREAD = 16
+TASKS = 48
 FULL = 16
-# Tasks that the comparison is cut into where there are rows enough.
-TASKS = 64
 # Rows of a tile and points they meet at a time, so that their distances stay in the cache.
 OWN_ROWS, MET_ROWS = 32, 4096
-# Share of the squared lengths below which a squared distance is taken again, from differences.
-CLOSE = 1e-5
-# Sums that a task holds before it hands them on.
+# Values that the vectors of a block hold, and rows whose sums by run are held at a time.
+BLOCK_VALUES, RUN_ROWS = 1 << 17, 2048
+# Share of the squared length below which a squared distance is taken again, from differences.
+CLOSE = 2.1e-5
+# Sums that a task holds; with more clusters, tiles are smaller.
 HELD_SUMS = 8_000_000
 
 # Tasks carry the helpers below with them; executors need not have the package.
@@ -43,140 +43,179 @@ def _lengths(vectors: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", vectors, vectors)
 
 
-def _distances(left: np.ndarray, right: np.ndarray, of_left: np.ndarray, of_right: np.ndarray) -> np.ndarray:
-    """Distances of all pairs, whose squared lengths are given, by a product of matrices; close
+def _as_left(vectors: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return np.hstack([-2 * vectors, lengths[:, None], np.ones((len(vectors), 1))])
+
+
+def _as_right(vectors: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return np.vstack([vectors.T, np.ones(len(vectors)), lengths])
+
+
+def _fill(gaps: np.ndarray, left: np.ndarray, right: np.ndarray, own: np.ndarray, theirs: np.ndarray, close: np.ndarray) -> None:
+    """Distances of all pairs by one product of matrices, as |x - y|² = -2xy + |x|² + |y|²; close
     pairs, whose squares lose digits by it, from their differences."""
-    lengths = of_left[:, None] + of_right
-    squares = left @ right.T
-    squares *= -2
-    squares += lengths
-    lengths *= CLOSE
-    a, b = np.nonzero(squares < lengths)
-    squares[a, b] = ((left[a] - right[b]) ** 2).sum(axis=1)
-    return np.sqrt(squares, out=squares)
+    np.matmul(left, right, out=gaps)
+    rows = np.flatnonzero(gaps.min(axis=1) < close)
+    if len(rows):
+        a, b = np.nonzero(gaps[rows] < close[rows, None])
+        a = rows[a]
+        gaps[a, b] = ((own[a] - theirs[b]) ** 2).sum(axis=1)
+    np.sqrt(gaps, out=gaps)
+
+
+def _distances(left: np.ndarray, right: np.ndarray, of_left: np.ndarray, of_right: np.ndarray) -> np.ndarray:
+    """Distances of all pairs, whose squared lengths are given."""
+    gaps = np.empty((len(left), len(right)))
+    _fill(gaps, _as_left(left, of_left), _as_right(right, of_right), left, right, CLOSE * of_left)
+    return gaps
 
 
 class _Sums:
     """Distances of a tile's points to the points met so far, added up by assignment and cluster."""
 
-    def __init__(self, keys: pa.Array, vectors: np.ndarray, labels: list[str]):
-        self.keys, self.labels = keys, labels
+    def __init__(self, keys: pa.Array, vectors: np.ndarray, codes: np.ndarray, labels: list[str]):
+        self.keys, self.codes, self.labels = keys, codes, labels
         self.middle = vectors.mean(axis=0)  # distances don't change when all points move
         self.vectors = vectors - self.middle
-        self.lengths = _lengths(self.vectors)
-        self.clear()
-
-    def clear(self) -> None:
-        self.totals: dict[tuple[str, str], np.ndarray] = {}
-
-    def meet(self, vectors: np.ndarray, codes: list[np.ndarray], names: list[list[str]]) -> None:
-        """Add the distances to points whose cluster under each assignment has a number and a name."""
-        order = np.lexsort(codes)
-        codes = [code[order] for code in codes]
-        starts = np.flatnonzero(np.concatenate([[True], np.any([code[1:] != code[:-1] for code in codes], axis=0)]))
-        theirs = vectors[order] - self.middle
-        lengths = _lengths(theirs)
-        runs = np.empty((len(self.vectors), len(starts)))
-        for at in range(0, len(self.vectors), OWN_ROWS):
-            own = slice(at, at + OWN_ROWS)
-            gaps = _distances(self.vectors[own], theirs, self.lengths[own], lengths)
-            np.add.reduceat(gaps, starts, axis=1, out=runs[own])
-        for label, code, known in zip(self.labels, codes, names):
-            present, number = np.unique(code[starts], return_inverse=True)
-            sums = runs @ np.eye(len(present))[number]
-            for i, name in enumerate(present):
-                if (label, known[name]) in self.totals:
-                    self.totals[label, known[name]] += sums[:, i]
-                else:
-                    self.totals[label, known[name]] = sums[:, i].copy()
+        lengths = _lengths(self.vectors)
+        self.left, self.close = _as_left(self.vectors, lengths), CLOSE * lengths
+        self.totals: list[dict[str, np.ndarray]] = [{} for _ in labels]
+        self.sizes: list[dict[str, int]] = [{} for _ in labels]
+
+    def meet(self, vectors: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> None:
+        """Add the distances to a block of points, which lie in runs of equal clusters."""
+        theirs = vectors - self.middle
+        right = _as_right(theirs, _lengths(theirs))
+        starts = np.cumsum(sizes) - sizes
+        gaps = np.empty((OWN_ROWS, len(theirs)))
+        grouped = []
+        for known, code in zip(self.sizes, codes.T):
+            names, number = np.unique(code, return_inverse=True)
+            order = np.argsort(number, kind="stable")
+            grouped.append((names, order, np.searchsorted(number[order], np.arange(len(names)))))
+            for name, n in zip(names, np.bincount(number, sizes).astype(int)):
+                known[name] = known.get(name, 0) + int(n)
+        for first in range(0, len(self.vectors), RUN_ROWS):
+            end = min(first + RUN_ROWS, len(self.vectors))
+            runs = np.empty((end - first, len(starts)))
+            for at in range(first, end, OWN_ROWS):
+                own = slice(at, min(at + OWN_ROWS, end))
+                part = gaps[: own.stop - at]
+                _fill(part, self.left[own], right, self.vectors[own], theirs, self.close[own])
+                np.add.reduceat(part, starts, axis=1, out=runs[at - first: own.stop - first])
+            for total, (names, order, begun) in zip(self.totals, grouped):
+                sums = np.add.reduceat(runs[:, order], begun, axis=1)
+                for i, name in enumerate(names):
+                    if name not in total:
+                        total[name] = np.zeros(len(self.vectors))
+                    total[name][first: end] += sums[:, i]
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        for (label, code), total in self.totals.items():
-            n = len(total)
-            yield pa.RecordBatch.from_arrays(
-                [self.keys, pa.repeat(pa.scalar(label), n), pa.repeat(pa.scalar(code), n), pa.array(total)], ["key", "assignment", "code", "total"]
-            )
-        self.clear()
+        """key, assignment, cluster, inside, outside, size: once every point has been met."""
+        coded = self.keys.dictionary_encode()
+        number, distinct = coded.indices.to_numpy(), len(coded.dictionary)
+        for at, label in enumerate(self.labels):
+            code = self.codes[:, at]
+            inside, outside = np.full(len(code), np.nan), np.full(len(code), np.inf)
+            for name, total in self.totals[at].items():
+                if distinct < len(number):  # rows that share a key count as one point
+                    total = np.bincount(number, total, distinct)[number]
+                mine, n = code == name, self.sizes[at][name]
+                np.minimum(outside, total / n, out=outside, where=~mine)
+                if n > 1:
+                    inside[mine] = total[mine] / (n - 1)
+            own = np.arange(len(code))
+            if distinct < len(number):
+                own = np.unique(np.stack([number, np.unique(code, return_inverse=True)[1]]), axis=1, return_index=True)[1]
+            size = np.array([self.sizes[at][name] for name in code[own]], np.int64)
+            yield pa.RecordBatch.from_arrays([
+                self.keys.take(pa.array(own)), pa.repeat(pa.scalar(label), len(own)), pa.array(code[own].tolist(), pa.string()),
+                pa.array(inside[own], mask=size == 1), pa.array(outside[own], mask=np.isinf(outside[own])), pa.array(size),
+            ], ["key", "assignment", "cluster", "inside", "outside", "size"])
+
+
+def _blocks(rows: DataFrame, parts: int, labels: list[str]) -> DataFrame:
+    """The points in blocks, where those of equal clusters lie together: the vectors end to end, the
+    length of each run and its clusters."""
+    alike = F.xxhash64("codes")
+    ordered = rows.repartitionByRange(parts, alike, F.xxhash64("key")).sortWithinPartitions(alike)
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors, codes = _vectors(batch), _clusters(batch, len(labels))
+            most = max(1, min(MET_ROWS, BLOCK_VALUES // max(1, vectors.shape[1])))
+            for at in range(0, batch.num_rows, most):
+                code = codes[at: at + most]
+                starts = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]).any(axis=1)]))
+                sizes = np.diff(np.append(starts, len(code))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([vectors[at: at + most].ravel()]), pa.array([sizes]), pa.array([code[starts].ravel().tolist()], pa.list_(pa.string())),
+                ], ["vector", "sizes", "codes"])
+
+    return ordered.select("vector", "codes").mapInArrow(pack, "vector array<double>, sizes array<int>, codes array<string>")
 
 
 def silhouette_points(points: DataFrame, key: str, vector: str, labels: list[str]) -> DataFrame:
     """Silhouette of each point under each of several assignments, long form.
 
-    Points are hashed into tiles, and the points that a tile meets into a few slabs. A task
-    holds one tile, reads the slab batch by batch and adds up distances per cluster; no pair
-    of points leaves the task. All assignments share the distances. Sums come back as rows of
-    (key, assignment, cluster), so any number of clusters will do. The work is n² by
-    definition; rows moved grow with n²/16384, sums with n and the slabs, and no group grows
-    with the data or with a cluster's size.
+    Points are hashed by key into tiles. All points, packed into blocks, are sent to every tile; a
+    task holds one tile, reads the blocks one by one and adds up distances per cluster. No pair
+    of points and no sum leaves the task. All assignments share the distances. Rows that share a
+    key count as one point, at the sum of their distances; rows without a key count for the
+    others only. The work is n² by definition; values moved are n times the tiles, which are 48
+    up to 786,432 points and n/16384 beyond, more where a tile would hold over ``HELD_SUMS``
+    sums of its points by cluster. No group grows with a cluster's size.
     """
-    n = points.count()
-    tiles = max(1, math.ceil(n / (FULL * TILE_ROWS)), min(SPREAD, math.ceil(n / TILE_ROWS)))
-    slabs = max(1, min(math.ceil(TASKS / tiles), math.ceil(n / (4 * TILE_ROWS))))
     rows = points.select(
-        F.col(key).alias("key"), F.col(vector).alias("vector"),
-        *[F.col(label).cast("string").alias(label) for label in labels],
+        F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"),
+        F.array(*[F.col(label).cast("string") for label in labels]).alias("codes"),
     )
-    tile, slab = (F.pmod(F.xxhash64("key", F.lit(salt)), F.lit(parts)).cast("int") for salt, parts in ((1, tiles), (2, slabs)))
-
-    def every(parts: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-
-    own = rows.withColumns({"tile": tile, "slab": every(slabs)}).withColumn("met", F.lit(False))
-    others = rows.withColumns({"slab": slab, "tile": every(tiles)}).withColumn("met", F.lit(True)).withColumn("key", F.lit(None).cast(rows.schema["key"].dataType))
-    codes = [f"code_{i}" for i in range(len(labels))]
-
-    def placed(part: DataFrame) -> DataFrame:
-        task = (F.col("tile") * slabs + F.col("slab")).cast("int")
-        return part.select(task.alias("task"), "met", "key", "vector", *[F.col(label).alias(code) for label, code in zip(labels, codes)])
-
-    dealt = placed(own).union(placed(others)).repartitionById(tiles * slabs, F.col("task")).sortWithinPartitions("task", "met")
+    n = points.count()
+    clusters = rows.select(F.posexplode("codes")).distinct().count()
+    tiles = max(math.ceil(n / (FULL * TILE_ROWS)), min(TASKS, math.ceil(n / TILE_ROWS)), math.ceil(n * clusters / HELD_SUMS))
+    tiles = max(1, min(tiles, n))
+    kind = rows.schema["key"].dataType
+    own = rows.where("key IS NOT NULL").select(
+        F.pmod(F.xxhash64("key", F.lit(1)), F.lit(tiles)).cast("int").alias("tile"), F.lit(False).alias("met"),
+        "key", "vector", F.array().cast("array<int>").alias("sizes"), "codes",
+    )
+    blocks = _blocks(rows, max(1, math.ceil(n / (4 * MET_ROWS))), labels).select(
+        F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile"), F.lit(True).alias("met"),
+        F.lit(None).cast(kind).alias("key"), "vector", "sizes", "codes",
+    )
+    dealt = own.union(blocks).repartitionById(tiles, F.col("tile")).sortWithinPartitions("tile", "met")
     schema = T.StructType([
-        T.StructField("key", rows.schema["key"].dataType), T.StructField("assignment", T.StringType()),
-        T.StructField("code", T.StringType()), T.StructField("total", T.DoubleType()),
+        T.StructField("key", kind), T.StructField("assignment", T.StringType()), T.StructField("cluster", T.StringType()),
+        T.StructField("inside", T.DoubleType()), T.StructField("outside", T.DoubleType()), T.StructField("size", T.LongType()),
     ])
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, own, sums = None, [], None
         for batch in batches:
-            kinds = np.stack([batch.column("task").to_numpy(), batch.column("met").to_numpy(zero_copy_only=False)])
+            kinds = np.stack([batch.column("tile").to_numpy(), batch.column("met").to_numpy(zero_copy_only=False)])
             bounds = [0, *(np.flatnonzero((kinds[:, 1:] != kinds[:, :-1]).any(axis=0)) + 1), batch.num_rows]
             for first, end in zip(bounds, bounds[1:]):
                 if first == end:
                     continue
-                if kinds[0, first] != task:  # a task's points come first, then those that they meet
+                if kinds[0, first] != task:  # a tile's points come first, then the blocks
                     if sums is not None:
                         yield from sums.rows()
                     task, own, sums = kinds[0, first], [], None
+                part = batch.slice(first, end - first)
                 if not kinds[1, first]:
-                    own.append(batch.slice(first, end - first))
+                    own.append((part.column("key"), _vectors(part), _clusters(part, len(labels))))
                     continue
-                for at in range(first, end if own else first, MET_ROWS):
-                    if sums is None:
-                        keys = pa.concat_arrays([part.column("key") for part in own])
-                        sums = _Sums(keys, np.concatenate([_vectors(part) for part in own]), labels)
-                    part = batch.slice(at, min(MET_ROWS, end - at))
-                    coded = [part.column(code).dictionary_encode() for code in codes]
-                    if any(code.null_count for code in coded):
-                        raise ValueError("points without a label have no silhouette")
-                    sums.meet(_vectors(part), [code.indices.to_numpy() for code in coded], [code.dictionary.to_pylist() for code in coded])
-                    if len(sums.totals) * len(sums.vectors) > HELD_SUMS:
-                        yield from sums.rows()
+                if own and sums is None:
+                    keys, vectors, codes = zip(*own)
+                    sums = _Sums(pa.concat_arrays(keys), np.concatenate(vectors), np.concatenate(codes), labels)
+                for at in range(part.num_rows if own else 0):
+                    block = part.slice(at, 1)
+                    sizes = block.column("sizes").flatten().to_numpy()
+                    sums.meet(block.column("vector").flatten().to_numpy().reshape(int(sizes.sum()), -1), sizes, _clusters(block, len(labels)))
         if sums is not None:
             yield from sums.rows()
 
-    added = dealt.mapInArrow(meet, schema).groupBy("key", "assignment", "code").agg(F.sum("total").alias("total"))
-    named = F.array(*[F.struct(F.lit(label).alias("assignment"), F.col(label).alias("cluster")) for label in labels])
-    own = rows.select("key", F.inline(named))
-    sizes = own.groupBy("assignment", F.col("cluster").alias("code")).agg(F.count("*").alias("n"))
-    mine = F.col("code") == F.col("cluster")
-    scored = (
-        added.join(sizes, ["assignment", "code"]).join(own, ["key", "assignment"])
-        .groupBy("key", "assignment", "cluster").agg(
-            F.max(F.when(mine, F.try_divide("total", F.col("n") - 1))).alias("inside"),
-            F.max(F.when(mine, F.col("n"))).alias("size"),
-            F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("outside"),
-        )
-    )
+    scored = dealt.mapInArrow(meet, schema)
     return scored.select("key", "assignment", "cluster", _score(F.col("inside"), F.col("outside"), F.col("size")).alias("silhouette"))
 
 
@@ -335,6 +374,14 @@ def _vectors(batch: pa.RecordBatch) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
 
 
+def _clusters(batch: pa.RecordBatch, labels: int) -> np.ndarray:
+    """The clusters of a batch, a column for each assignment."""
+    codes = batch.column("codes").flatten()
+    if codes.null_count:
+        raise ValueError("points without a label have no silhouette")
+    return codes.to_numpy(zero_copy_only=False).astype(object).reshape(-1, labels)
+
+
 def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The vectors of a batch that are there, one a row, and which rows have one."""
     valid = np.asarray(batch.column(0).is_valid())

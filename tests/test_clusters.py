@@ -78,6 +78,40 @@ def test_silhouette_in_many_tasks(spark, monkeypatch):
     assert np.allclose(gaps, np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1)), rtol=1e-9, atol=0)
 
 
+def test_silhouette_sends_blocks_and_no_sums(spark, monkeypatch):
+    """Tasks return scores, not a sum for each point and cluster, and points travel in blocks.
+
+    A repeated key counts as one point with the sum of its distances; a row without a key is
+    met but not scored.
+    """
+    monkeypatch.setattr(silhouette, "TILE_ROWS", 8)
+    points, labels = blobs(90, [(0, 0), (3, 1), (1, 4)], 1.0)
+    df = points_frame(spark, points, labels)
+    plan = silhouette.silhouette_points(df, "station", "point", ["label"])._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    rows = df.select(F.col("station").alias("key"), F.col("point").alias("vector"), F.array(F.col("label").cast("string")).alias("codes"))
+    assert silhouette._blocks(rows, 1, ["label"]).count() == 1
+
+    gaps = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+    twice = df.withColumn("station", F.when(F.col("station") == "s0003", "s0000").when(F.col("station") != "s0001", F.col("station")))
+    found = {r.key: r.silhouette for r in silhouette.silhouette_points(twice, "station", "point", ["label"]).collect()}
+    assert len(found) == 88 and None not in found
+    total = [(gaps[0] + gaps[3])[labels == c].sum() for c in range(3)]
+    a, b = total[0] / 29, min(total[1], total[2]) / 30
+    assert math.isclose(found["s0000"], (b - a) / max(a, b), rel_tol=1e-9)
+    a, b = gaps[2][labels == 2].sum() / 29, min(gaps[2][labels == c].mean() for c in (0, 1))
+    assert math.isclose(found["s0002"], (b - a) / max(a, b), rel_tol=1e-9)
+
+
+def test_nearest_takes_the_first_of_equal_centres():
+    rng = np.random.default_rng(2)
+    points, centers = rng.normal(size=(500, 6)), rng.normal(size=(7, 6))
+    centers[5] = centers[2]
+    squares = kmeans._squares(points, centers)
+    number, least = kmeans._nearest(points, centers)
+    assert (number == squares.argmin(axis=1)).all() and (least == squares.min(axis=1)).all()
+
+
 def test_wcss(spark):
     points, labels = blobs(50, [(0, 0), (5, 5)], 1.0)
     found = {r.cluster: (r.n_points, r.wcss)
