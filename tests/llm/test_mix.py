@@ -162,6 +162,28 @@ def test_pipeline_stages(spark, sf_dir):
     assert not [r.doc_id for r in rows if any(x in r.text for x in leaked)]
 
 
+def test_pipeline_hands_texts_over_in_small_batches(spark):
+    """Whatever the stage runs next, no Python worker gets 64 MB of texts at once."""
+    import pyarrow as pa
+
+    from tapflow.llm import store
+
+    def largest(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([max((b.nbytes for b in batches), default=0)])], ["n"])
+
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.expr("repeat(string(id), 4000)").alias("text")).coalesce(1)
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(limit)
+    try:
+        corpus_pipeline.small_batches(spark)
+        assert docs.mapInArrow(largest, "n long").first().n < 2 * store.BATCH_BYTES
+        spark.conf.set(limit, str(1 << 20))
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(limit) == str(1 << 20)
+    finally:
+        spark.conf.unset(limit)
+
+
 def test_pipeline_of_awkward_documents(spark, sf_dir):
     docs = spark.createDataFrame(cases.rows(cases.awkward_texts()) + [(None, "x", None, None, None)], cases.SCHEMA)
     for table in (docs, docs.limit(0)):
